@@ -57,10 +57,18 @@ def _multi_class() -> str:
     return "[" + "".join(re.escape(ch) for ch in multi) + "]"
 
 
+@functools.lru_cache(maxsize=1)
+def _multi_json() -> str:
+    import json
+
+    return json.dumps(_tables()[2], ensure_ascii=False)
+
+
 def fold_key(col) -> Column:
-    src, dst, multi = _tables()
+    src, dst, _ = _tables()
     s = F.coalesce(_c(col).cast("string"), F.lit(""))
-    multi_map = F.create_map(*[x for k, v in multi.items() for x in (F.lit(k), F.lit(v))])
+    # One constant-folded literal keeps the expression tree small.
+    multi_map = F.from_json(F.lit(_multi_json()), "map<string,string>")
     expanded = F.when(
         s.rlike(_multi_class()),
         F.array_join(F.transform(F.split(s, ""), lambda ch: F.coalesce(F.element_at(multi_map, ch), ch)), ""),

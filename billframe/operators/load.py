@@ -12,20 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billframe.config import DUPLICATE_SKIPPED, QUARANTINED, SCHEMA_VERSION
-from billframe.functions import dedup_key, fold_key, invoice_sk, month_key, vendor_pk
+from billframe.functions import fold_key, month_key
 
 
 def with_keys(records: DataFrame) -> DataFrame:
-    """K2/K3: PK, SK, dedup_key, month, date sort key for valid records."""
-    pk = vendor_pk("company_name")
-    return (
-        records.withColumn("PK", pk)
-        .withColumn("SK", invoice_sk("invoice_reference_number"))
-        .withColumn("dedup_key", dedup_key("company_name", "invoice_reference_number"))
-        .withColumn("vendor_key", fold_key("company_name"))
-        .withColumn("month", month_key("date"))
-        .withColumn("date_sk", F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("#"), F.col("PK")))
+    """K2/K3: PK, SK, dedup_key, month, date sort key (each name folded once)."""
+    folded = records.select(
+        "*", fold_key("company_name").alias("vendor_key"), fold_key("invoice_reference_number").alias("_ref_key")
     )
+    pk = F.concat(F.lit("VENDOR#"), F.col("vendor_key"))
+    return folded.select(
+        "*",
+        pk.alias("PK"),
+        F.concat(F.lit("INVOICE#"), F.col("_ref_key")).alias("SK"),
+        F.concat_ws("|", F.col("vendor_key"), F.col("_ref_key")).alias("dedup_key"),
+        month_key("date").alias("month"),
+        F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("#"), pk).alias("date_sk"),
+    ).drop("_ref_key")
 
 
 def first_write_wins(

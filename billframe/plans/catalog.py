@@ -216,6 +216,107 @@ def quarantine_reasons(spark: SparkSession, sf: str) -> DataFrame:
     return _breakdown(spark, sf, "quarantine_reasons")
 
 
+def _expense(spark, sf):
+    from billframe.operators import extract as X
+    from billframe.plans.stages import materialize
+    from billframe.sources.envelopes import rendered_expense
+
+    configure(spark)
+    return materialize(lambda: X.parse_envelopes(rendered_expense(spark, sf)), "expense_parsed", (sf,), spark=spark)
+
+
+def _blocks(spark, sf):
+    from billframe.operators import extract as X
+    from billframe.sources.envelopes import rendered_blocks
+
+    configure(spark)
+    return X.parse_envelopes(rendered_blocks(spark, sf), schema=X.BLOCK_SCHEMA)
+
+
+def _okey(col="source_file"):
+    return F.regexp_extract(F.col(col), r"invoice_(\d+)\.pdf", 1).cast("long").alias("o_orderkey")
+
+
+def expense_summary(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+
+    s = X.expense_summary_fields(_expense(spark, sf))
+    return s.select(_okey(), F.col("pos.item").alias("item"), "type", "label", "value", "confidence", "page")
+
+
+def expense_line_items(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+
+    cells = X.line_cells(X.expense_line_items(_expense(spark, sf)))
+    return cells.select(_okey(), "row_index", "col_pos", "col", "value", "confidence")
+
+
+def label_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+
+    p = _expense(spark, sf)
+    summ = X.expense_summary_fields(p)
+    s = X.confidence_by_label(summ).select(_okey(), F.lit("summary_max").alias("kind"), "label", "confidence")
+    li = X.line_item_confidence_by_label(X.line_cells(X.expense_line_items(p))).select(
+        _okey(), F.lit("line_min").alias("kind"), "label", "confidence")
+    m = X.mean_confidence(summ).select(_okey(), F.lit("mean").alias("kind"), F.lit("").alias("label"),
+                                       F.round("mean_confidence", 4).alias("confidence"))
+    return s.unionByName(li).unionByName(m).select(
+        "o_orderkey", "kind", "label", F.col("confidence").cast("decimal(10,4)").alias("confidence"))
+
+
+def block_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+
+    s = X.block_summary_fields(_blocks(spark, sf))
+    return s.select(_okey(), "type", "label", "value", "confidence", "page")
+
+
+def block_tables(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+
+    items = X.block_line_items(_blocks(spark, sf))
+    cells = items.select("source_file", "row_index", "confidence", F.explode("fields").alias("col", "value"))
+    return cells.select(_okey(), "row_index", "col", "value", F.col("confidence").alias("row_confidence"))
+
+
+def fallback_merge(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+    from billframe.sources.envelopes import rendered_blocks
+
+    p = _expense(spark, sf)
+    summ, items, headers = X.fallback_merge(
+        X.expense_summary_fields(p), X.expense_line_items(p), rendered_blocks(spark, sf), p.select("source_file"))
+    ns = summ.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_summary_fields"))
+    nl = items.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_line_items"))
+    return headers.join(ns, "source_file", "left").join(nl, "source_file", "left").select(
+        _okey(), "api", F.size("warnings").alias("n_warnings"), "extraction_ok",
+        F.coalesce("n_summary_fields", F.lit(0)).alias("n_summary_fields"),
+        F.coalesce("n_line_items", F.lit(0)).alias("n_line_items"))
+
+
+def product_name_join(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+
+    names = X.product_names(X.expense_line_items(_expense(spark, sf)))
+    return names.select(_okey(), "product_name")
+
+
+def resolve_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators import extract as X
+    from billframe.operators.mapping import confidence_maps, resolve_confidences
+
+    p = _expense(spark, sf)
+    summ = X.expense_summary_fields(p)
+    cells = X.line_cells(X.expense_line_items(p))
+    labels = F.create_map(F.lit("company_name"), F.lit("Vendor:"), F.lit("total_amount"), F.lit("TOTAL"),
+                          F.lit("date"), F.lit("Invoice Date:"), F.lit("product_name"), F.lit(" ITEM"),
+                          F.lit("buyer_name"), F.lit("Customer"))
+    payloads = p.select("source_file", labels.alias("source_labels"))
+    r = resolve_confidences(payloads, confidence_maps(summ, cells))
+    return r.select(_okey(), F.explode("extraction_confidence").alias("field", "confidence"))
+
+
 QUERIES = {
     "dq_status": dq_status,
     "coerce_money": coerce_money,
@@ -239,4 +340,12 @@ QUERIES = {
     "by_currency": by_currency,
     "by_status_items": by_status_items,
     "quarantine_reasons": quarantine_reasons,
+    "expense_summary": expense_summary,
+    "expense_line_items": expense_line_items,
+    "label_confidence": label_confidence,
+    "block_pairs": block_pairs,
+    "block_tables": block_tables,
+    "fallback_merge": fallback_merge,
+    "product_name_join": product_name_join,
+    "resolve_confidence": resolve_confidence,
 }

@@ -103,6 +103,34 @@ def _cents(expr: str) -> str:
     return f"CAST(CAST({expr} AS DECIMAL(18, 0)) * CAST(0.01 AS DECIMAL(3, 2)) AS DECIMAL(18, 2))"
 
 
+_LINES = """
+WITH l AS (
+  SELECT l.l_orderkey AS k, l.l_linenumber AS n, p.p_name AS item,
+         CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) AS qty,
+         CAST(round(l.l_extendedprice * 100) AS BIGINT) AS ac,
+         CAST(30 + (l.l_orderkey + l.l_linenumber * 7) % 70 AS DOUBLE) AS qty_conf,
+         row_number() OVER (PARTITION BY l.l_orderkey
+           ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity, l.l_extendedprice) - 1 AS row_index
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+), o AS (
+  SELECT o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS c, CAST(o_orderdate AS DATE) AS d,
+         (o_orderkey % 7 = 0) AS low
+  FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+), cells AS (
+  SELECT k, row_index, 0 AS col_pos, 'ITEM' AS col, item AS value, CAST(90 AS DOUBLE) AS confidence FROM l
+  UNION ALL SELECT k, row_index, 1, 'Qty', CASE WHEN n % 5 = 0 THEN 'dup' ELSE qty END, qty_conf FROM l
+  UNION ALL SELECT k, row_index, 2, 'Amount', printf('%d.%02d', ac // 100, ac % 100), CAST(60 + n AS DOUBLE) FROM l
+  UNION ALL SELECT k, row_index, 3, 'COL3', 'note', NULL FROM l WHERE n % 4 = 0
+), summ AS (
+  SELECT k, 0 AS item, 'VENDOR_NAME' AS type, 'Vendor:' AS label, 'Acme Trading ' || CAST(k % 200 AS VARCHAR) AS value,
+         CAST(CASE WHEN low THEN 10 ELSE 50 + k % 50 END AS DOUBLE) AS confidence, 1 AS page FROM o
+  UNION ALL SELECT k, 1, 'TOTAL', 'TOTAL', printf('%d.%02d', c // 100, c % 100),
+         CAST(CASE WHEN low THEN 20 ELSE 40 + (k * 3) % 60 END AS DOUBLE), 1 FROM o
+  UNION ALL SELECT k, 2, 'INVOICE_RECEIPT_DATE', 'Invoice' || chr(10) || ' Date:', strftime(d, '%d-%m-%Y'),
+         CAST(CASE WHEN low THEN 30 ELSE 99 END AS DOUBLE), 1 FROM o
+)
+"""
+
 ORACLE = {
     "dq_status": _TRUTH + f"""
 SELECT status, CAST(count(*) AS BIGINT) AS n,
@@ -203,4 +231,38 @@ SELECT final_status AS key, CAST(count(*) AS BIGINT) AS n FROM gold GROUP BY fin
 UNION ALL SELECT 'QUARANTINED', CAST(count(*) AS BIGINT) FROM stones""",
     "quarantine_reasons": _TRUTH + """
 SELECT error_type AS key, CAST(count(*) AS BIGINT) AS n FROM stones GROUP BY error_type""",
+    "expense_summary": _LINES + """
+SELECT k AS o_orderkey, item, type, label, value, confidence, page FROM summ""",
+    "expense_line_items": _LINES + """
+SELECT k AS o_orderkey, row_index, col_pos, col, value, confidence FROM cells""",
+    "label_confidence": _LINES + """
+SELECT k AS o_orderkey, 'summary_max' AS kind, CASE WHEN label = 'Invoice' || chr(10) || ' Date:' THEN 'Invoice Date:' ELSE label END AS label,
+       CAST(confidence AS DECIMAL(10, 4)) AS confidence FROM summ
+UNION ALL
+SELECT k, 'line_min', col, CAST(min(confidence) AS DECIMAL(10, 4)) FROM cells WHERE confidence IS NOT NULL GROUP BY k, col
+UNION ALL
+SELECT k, 'mean', '', CAST(round(avg(confidence), 4) AS DECIMAL(10, 4)) FROM summ GROUP BY k""",
+    "block_pairs": _LINES + """
+SELECT k AS o_orderkey, 'OTHER' AS type, 'Order ID' AS label, CAST(k AS VARCHAR) AS value,
+       CAST(40 + k % 60 AS DOUBLE) AS confidence, 1 AS page FROM o
+UNION ALL
+SELECT k, 'OTHER', 'Grand Total', printf('%d.%02d', c // 100, c % 100), CAST(90 AS DOUBLE), 1 FROM o""",
+    "block_tables": _LINES + """
+SELECT k AS o_orderkey, row_index, 'Description' AS col, item AS value, (88 + qty_conf) / 2 AS row_confidence FROM l
+UNION ALL
+SELECT k, row_index, 'Qty', qty, (88 + qty_conf) / 2 FROM l""",
+    "fallback_merge": _LINES + """
+, nl AS (SELECT k, count(*) AS n FROM l GROUP BY k)
+SELECT o.k AS o_orderkey, CASE WHEN low THEN 'AnalyzeDocument' ELSE 'AnalyzeExpense' END AS api,
+       CASE WHEN low THEN 2 ELSE 0 END AS n_warnings, TRUE AS extraction_ok,
+       CAST(CASE WHEN low THEN 5 ELSE 3 END AS BIGINT) AS n_summary_fields,
+       CAST(CASE WHEN low THEN 2 * nl.n ELSE nl.n END AS BIGINT) AS n_line_items
+FROM o JOIN nl ON o.k = nl.k""",
+    "product_name_join": _LINES + """
+SELECT k AS o_orderkey, string_agg(item, '; ' ORDER BY row_index) AS product_name FROM l GROUP BY k""",
+    "resolve_confidence": _LINES + """
+SELECT k AS o_orderkey, 'company_name' AS field, confidence FROM summ WHERE item = 0
+UNION ALL SELECT k, 'total_amount', confidence FROM summ WHERE item = 1
+UNION ALL SELECT k, 'date', confidence FROM summ WHERE item = 2
+UNION ALL SELECT k, 'product_name', CAST(90 AS DOUBLE) FROM o""",
 }

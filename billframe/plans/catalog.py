@@ -317,6 +317,107 @@ def resolve_confidence(spark: SparkSession, sf: str) -> DataFrame:
     return r.select(_okey(), F.explode("extraction_confidence").alias("field", "confidence"))
 
 
+def _attempts(spark, sf):
+    """Captured model responses rendered from orders: attempt 1 lacks the tool
+    call when k % 3 = 0; attempt 2 leaves company blank when k % 9 = 0;
+    attempt 3 is valid but beyond the two allowed attempts."""
+    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    k = F.col("o_orderkey")
+    a = o.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("attempt"))
+    full = k % 2 == 0
+    labels = F.when(full, F.create_map(
+        *[F.lit(x) for x in ("date", "Invoice Date:", "company_name", "Vendor:", "buyer_name", "Bill To",
+                             "invoice_reference_number", "Invoice No", "total_amount", "TOTAL",
+                             "product_amount", "Sub Total", "vat_tax_amount", "GST", "mode_of_payment", "Paid By",
+                             "bogus", "ignored")])).otherwise(F.create_map(
+        F.lit("company_name"), F.lit("Vendor:"), F.lit("total_amount"), F.lit("TOTAL")))
+    tool = F.struct(
+        F.date_format("o_orderdate", "dd-MM-yyyy").alias("date"),
+        F.when((F.col("attempt") == 2) & (k % 9 == 0), F.lit(" ")).otherwise(
+            F.concat(F.lit("Acme Trading "), (k % 200).cast("string"))).alias("company_name"),
+        F.concat(F.lit("Buyer "), F.col("o_custkey").cast("string")).alias("buyer_name"),
+        F.concat(F.lit("INV/"), k.cast("string")).alias("invoice_reference_number"),
+        F.format_string("%.2f", F.col("o_totalprice")).alias("total_amount"),
+        F.lit("INR").alias("currency"),
+        labels.alias("source_labels"),
+        (k % 4 == 0).alias("multiple_total_candidates"),
+    )
+    has_tool = ~((F.col("attempt") == 1) & (k % 3 == 0))
+    content = F.when(has_tool, F.array(
+        F.struct(F.lit("calling tool").alias("text"), F.lit(None).cast("struct<name:string,input:string>").alias("toolUse")),
+        F.struct(F.lit(None).cast("string").alias("text"),
+                 F.struct(F.lit("map_invoice_fields").alias("name"), F.to_json(tool).alias("input")).alias("toolUse")),
+    )).otherwise(F.array(F.struct(F.lit("no tool").alias("text"),
+                                  F.lit(None).cast("struct<name:string,input:string>").alias("toolUse"))))
+    resp = F.struct(F.struct(F.struct(content.alias("content")).alias("message")).alias("output"),
+                    F.lit("tool_use").alias("stopReason"),
+                    F.struct((F.lit(1000) + k % 500).alias("inputTokens"), (F.lit(200) + F.col("attempt")).alias("outputTokens")).alias("usage"))
+    # The rendered tool input is embedded as a JSON object (not a string).
+    body = F.regexp_replace(F.regexp_replace(F.to_json(resp), r'"input":"((?:[^"\\]|\\.)*)"', '"input":$1'), r'\\"', '"')
+    return a.select(F.format_string("invoice_%d.pdf", k).alias("source_file"), "attempt",
+                    F.lit("model-a").alias("model_id"), body.alias("response"))
+
+
+def attempt_select(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators.mapping import select_attempt
+
+    configure(spark)
+    s = select_attempt(_attempts(spark, sf))
+    return s.select(_okey(), "mapping_ok", "attempts", F.col("fields.company_name").alias("company_name"),
+                    F.col("fields.total_amount").alias("total_amount"), F.col("fields.product_name").alias("product_name"),
+                    F.size("source_labels").alias("n_labels"), "input_tokens", "output_tokens")
+
+
+def alias_learn(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.operators.mapping import learn_aliases, select_attempt
+
+    configure(spark)
+    s = select_attempt(_attempts(spark, sf)).where("mapping_ok").withColumn(
+        "load_order", F.regexp_extract("source_file", r"invoice_(\d+)\.pdf", 1).cast("long"))
+    head, alias = learn_aliases(s)
+    n = alias.groupBy("vendor_key").agg(F.count(F.lit(1)).alias("n_aliases"))
+    return head.join(n, "vendor_key", "left").select(
+        "vendor_key", F.round("coverage", 4).cast("decimal(10,4)").alias("coverage"),
+        F.col("learned_order").alias("learned_from"), F.coalesce("n_aliases", F.lit(0)).alias("n_aliases"),
+        F.col("constants").getItem("currency").alias("constant_currency"))
+
+
+def size_gate(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.sources.manifest import size_rejected
+
+    configure(spark)
+    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    size = F.octet_length("text").cast("bigint")
+    magic = F.substring(F.col("text"), 1, 5) == F.lit("%PDF-")
+    return d.select("doc_id", size.alias("size_bytes"), size_rejected(size).alias("size_rejected"),
+                    magic.alias("has_pdf_magic"),
+                    F.when(~magic | size_rejected(size), F.lit("EXTRACTION_FAILED")).alias("gate_rule"))
+
+
+def manifest_diff(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.sources.manifest import manifest_diff as diff
+
+    configure(spark)
+    d = spread(table(spark, sf, "documents").select("doc_id", "n_chars", "source"))
+    cur = d.select("doc_id", F.lit("2026-05-14").cast("date").alias("batch_date"),
+                   F.format_string("doc_%d.pdf", "doc_id").alias("filename"), F.col("n_chars").alias("size_bytes"))
+    mirrored = d.where(F.col("doc_id") % 3 != 0).select(
+        F.lit("2026-05-14").cast("date").alias("batch_date"), F.format_string("doc_%d.pdf", "doc_id").alias("filename"),
+        (F.col("n_chars") + F.when(F.col("doc_id") % 5 == 0, F.lit(1)).otherwise(F.lit(0))).alias("size_bytes"))
+    return diff(cur, mirrored).select("doc_id", "filename", "size_bytes")
+
+
+def batch_partition(spark: SparkSession, sf: str) -> DataFrame:
+    from billframe.sources.manifest import batch_date_prefix
+
+    configure(spark)
+    e = spread(table(spark, sf, "events").select("event_id", "ts"))
+    d = F.to_date("ts")
+    return e.groupBy(d.alias("batch_date")).agg(F.count(F.lit(1)).alias("n_files")).select(
+        "batch_date", batch_date_prefix(F.col("batch_date")).alias("prefix"),
+        batch_date_prefix(F.col("batch_date"), "yyyy/M/d/").alias("unpadded_prefix"), "n_files")
+
+
 QUERIES = {
     "dq_status": dq_status,
     "coerce_money": coerce_money,
@@ -348,4 +449,9 @@ QUERIES = {
     "fallback_merge": fallback_merge,
     "product_name_join": product_name_join,
     "resolve_confidence": resolve_confidence,
+    "attempt_select": attempt_select,
+    "alias_learn": alias_learn,
+    "size_gate": size_gate,
+    "manifest_diff": manifest_diff,
+    "batch_partition": batch_partition,
 }

@@ -265,4 +265,41 @@ SELECT k AS o_orderkey, 'company_name' AS field, confidence FROM summ WHERE item
 UNION ALL SELECT k, 'total_amount', confidence FROM summ WHERE item = 1
 UNION ALL SELECT k, 'date', confidence FROM summ WHERE item = 2
 UNION ALL SELECT k, 'product_name', CAST(90 AS DOUBLE) FROM o""",
+    "attempt_select": """
+SELECT o_orderkey,
+  (o_orderkey % 9 <> 0) AS mapping_ok,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS attempts,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE 'Acme Trading ' || CAST(o_orderkey % 200 AS VARCHAR) END AS company_name,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE printf('%.2f', o_totalprice) END AS total_amount,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE 'N/A' END AS product_name,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 8 ELSE 2 END AS n_labels,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(1000 + o_orderkey % 500 AS BIGINT) END AS input_tokens,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN CAST(202 AS BIGINT) ELSE CAST(201 AS BIGINT) END AS output_tokens
+FROM orders""",
+    "alias_learn": """
+WITH w AS (
+  SELECT o_orderkey AS k, 'ACMETRADING' || CAST(o_orderkey % 200 AS VARCHAR) AS vendor_key,
+         CASE WHEN o_orderkey % 2 = 0 THEN 9 ELSE 3 END AS covered,
+         CASE WHEN o_orderkey % 2 = 0 THEN 8 ELSE 2 END AS n_aliases
+  FROM orders WHERE o_orderkey % 9 <> 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY vendor_key ORDER BY covered DESC, k DESC) AS rn FROM w
+)
+SELECT vendor_key, CAST(round(covered / 13.0, 4) AS DECIMAL(10, 4)) AS coverage, k AS learned_from,
+       CAST(n_aliases AS BIGINT) AS n_aliases, 'INR' AS constant_currency
+FROM r WHERE rn = 1""",
+    "size_gate": """
+SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size_bytes, (strlen(text) <= 0 OR strlen(text) > 524288000) AS size_rejected,
+       (substr(text, 1, 5) = '%PDF-') AS has_pdf_magic,
+       CASE WHEN NOT (substr(text, 1, 5) = '%PDF-') OR strlen(text) <= 0 OR strlen(text) > 524288000
+            THEN 'EXTRACTION_FAILED' END AS gate_rule
+FROM documents""",
+    "manifest_diff": """
+SELECT doc_id, printf('doc_%d.pdf', doc_id) AS filename, n_chars AS size_bytes
+FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0""",
+    "batch_partition": """
+SELECT CAST(ts AS DATE) AS batch_date, strftime(CAST(ts AS DATE), '%Y/%m/%d/') AS prefix,
+       CAST(year(ts) AS VARCHAR) || '/' || CAST(month(ts) AS VARCHAR) || '/' || CAST(day(ts) AS VARCHAR) || '/' AS unpadded_prefix,
+       CAST(count(*) AS BIGINT) AS n_files
+FROM events GROUP BY 1, 2, 3""",
 }

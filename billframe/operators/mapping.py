@@ -243,7 +243,10 @@ def finalize_metadata(payloads: DataFrame, docs: DataFrame, line_items: DataFram
     md = F.coalesce(F.col("unmapped_metadata"), F.create_map().cast("map<string,string>"))
     if line_items is not None:
         rows = line_items.groupBy("source_file").agg(
-            F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("row_order", "fields"))), lambda r: r["fields"])).alias("_li")
+            F.to_json(F.transform(F.array_sort(
+                F.collect_list(F.struct("row_order", "fields")),
+                lambda a, b: F.when(a["row_order"] < b["row_order"], -1).when(a["row_order"] > b["row_order"], 1).otherwise(0),
+            ), lambda r: r["fields"])).alias("_li")
         )
         j = j.join(rows, "source_file", "left")
         md = F.when(F.col("_li").isNotNull() & ~F.map_contains_key(md, F.lit("line_items")),

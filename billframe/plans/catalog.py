@@ -222,15 +222,19 @@ def _expense(spark, sf):
     from billframe.sources.envelopes import rendered_expense
 
     configure(spark)
-    return materialize(lambda: X.parse_envelopes(rendered_expense(spark, sf)), "expense_parsed", (sf,), spark=spark)
+    return materialize(lambda: X.parse_envelopes(rendered_expense(spark, sf)).drop("body"), "expense_parsed", (sf,),
+                       spark=spark)
 
 
 def _blocks(spark, sf):
     from billframe.operators import extract as X
+    from billframe.plans.stages import materialize
     from billframe.sources.envelopes import rendered_blocks
 
     configure(spark)
-    return X.parse_envelopes(rendered_blocks(spark, sf), schema=X.BLOCK_SCHEMA)
+    # Parse the block JSON once; the graph joins read the parsed stage.
+    return materialize(lambda: X.parse_envelopes(rendered_blocks(spark, sf), schema=X.BLOCK_SCHEMA).drop("body"),
+                       "blocks_parsed", (sf,), spark=spark)
 
 
 def _okey(col="source_file"):
@@ -282,11 +286,14 @@ def block_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 def fallback_merge(spark: SparkSession, sf: str) -> DataFrame:
     from billframe.operators import extract as X
+    from billframe.plans.stages import materialize
     from billframe.sources.envelopes import rendered_blocks
 
     p = _expense(spark, sf)
+    # Block envelopes are joined to the unusable documents before they are parsed.
+    blocks = materialize(lambda: rendered_blocks(spark, sf), "blocks_raw", (sf,), spark=spark)
     summ, items, headers = X.fallback_merge(
-        X.expense_summary_fields(p), X.expense_line_items(p), rendered_blocks(spark, sf), p.select("source_file"))
+        X.expense_summary_fields(p), X.expense_line_items(p), blocks, p.select("source_file"))
     ns = summ.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_summary_fields"))
     nl = items.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_line_items"))
     return headers.join(ns, "source_file", "left").join(nl, "source_file", "left").select(

@@ -52,6 +52,15 @@ def words(col: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> dict[str, Column]:
+    """Columns __id and __text that name a row without NULLs: the id (NULL sorts last) and a
+    hash of the text. Rows that agree in both are copies of one row."""
+    return {
+        "__id": F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)),
+        "__text": F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))),
+    }
+
+
 def narrow(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and text only, text never NULL, as UTF-8 bytes."""
     return df.select(

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.llm import decontaminate, token_count
-from billframe.llm.common import tune
+from billframe.llm import decontaminate, quality_fm, simhash, token_count
+from billframe.llm.common import crc_mod, tune
 from billframe.sources.tables import table
 
 #: Tokens beyond which a text counts as over the limit (contract).
@@ -21,6 +21,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from two thirds of the labelled ones."""
+    docs, labels = table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_fm.train(docs, labels, learn=crc_mod(F.col("doc_id"), 3) != 1)
+    return quality_fm.scores(docs, model).select(
+        "doc_id",
+        (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE token counts of every document."""
     docs = table(tune(spark), sf_dir, "documents")
@@ -29,6 +41,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(tune(spark), sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs, items = table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -36,7 +54,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
+    "op6_simhash": op6_simhash,
     "op9_decontamination": op9_decontamination,
 }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.llm import decontaminate, quality_fm, simhash, token_count
+from billframe.llm import decontaminate, extract_main, quality_fm, simhash, token_count
 from billframe.llm.common import crc_mod, tune
 from billframe.sources.tables import table
 
@@ -53,11 +53,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.benchmark_hits(docs, items))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extract_main.extract(table(tune(spark), sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
     "op6_simhash": op6_simhash,
     "op9_decontamination": op9_decontamination,
+    "op10_main_text": op10_main_text,
 }
 
 #: DuckDB SQL where SQL can express the operator.

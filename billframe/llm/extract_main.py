@@ -8,7 +8,8 @@ known by element, role or the words of class and id - carry no content.
 
 Every line's ratio is its characters outside links over its tags. The ratios
 are smoothed by a Gaussian along the page and clustered in two by a threshold
-(iterated class means); lines above it, unless mostly links, are the core. The
+(iterated class means); lines that reach it, smoothed or by themselves, and are
+not mostly links, are the core. The
 content region is the container that holds most of the core - an article or
 main element if there is one. Lines of the region stay if they lie between
 core lines, or in a part of it that holds some, so short paragraphs are kept;
@@ -223,8 +224,9 @@ def main_text(html: str, sigma: float = 1.0, most_links: float = 0.5, share: flo
     free = np.array([max(0, len(t) - linked) for t, _, linked, _ in lines], dtype=np.float64)
     size = np.array([len(t) for t, _, _, _ in lines], dtype=np.float64)
     prose = free >= (1 - most_links) * size
-    even = smoothed(free / np.maximum(1, [tags for _, tags, _, _ in lines]), sigma)
-    core = prose & (even >= split_level(even))
+    ratios = free / np.maximum(1, [tags for _, tags, _, _ in lines])
+    even = smoothed(ratios, sigma)
+    core = prose & (np.maximum(even, ratios) >= split_level(even))
     if not core.any():
         core = prose
     if not core.any():

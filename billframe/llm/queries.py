@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.llm import decontaminate, extract_main, quality_fm, simhash, token_count
+from billframe.llm import decontaminate, extract_main, lm_lattice, quality_fm, simhash, token_count
 from billframe.llm.common import crc_mod, tune
 from billframe.sources.tables import table
 
@@ -21,6 +21,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-level base score and subword-lattice log10 probability of every document."""
+    docs = table(tune(spark), sf_dir, "documents")
+    return lm_lattice.lm_scores(docs, tokenizer_file("piece_bpe_32k.model"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from two thirds of the labelled ones."""
     docs, labels = table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -60,6 +66,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_lm_score": op3_lm_score,
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
     "op6_simhash": op6_simhash,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.llm import decontaminate, extract_main, lm_lattice, quality_fm, simhash, token_count
+from billframe.llm import decontaminate, extract_main, lm_lattice, mixture, quality_fm, quality_rules, simhash, token_count
 from billframe.llm.common import crc_mod, tune
 from billframe.sources.tables import table
 
@@ -21,6 +21,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and risk-controlled verdict of every document, by language."""
+    found = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select("doc_id", *columns)
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-level base score and subword-lattice log10 probability of every document."""
     docs = table(tune(spark), sf_dir, "documents")
@@ -53,6 +60,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture of all sources at an entropy of 95 % of the greatest, at most four passes."""
+    return mixture.mixture(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs, items = table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -66,13 +78,17 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op3_lm_score": op3_lm_score,
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
     "op6_simhash": op6_simhash,
+    "op8_mixture": op8_mixture,
     "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
 }
 
 #: DuckDB SQL where SQL can express the operator.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_mixture": mixture.SQL.format(documents="documents"),
+}

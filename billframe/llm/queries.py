@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.llm import decontaminate, extract_main, lm_lattice, mixture, quality_fm, quality_rules, simhash, token_count
+from billframe.llm import decontaminate, extract_main, line_dedup, lm_lattice, mixture, quality_fm, quality_rules, simhash, token_count
 from billframe.llm.common import crc_mod, tune
 from billframe.sources.tables import table
 
@@ -60,6 +60,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that every document loses to an earlier equal or nearly equal line."""
+    found = line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return found.withColumn("dropped", F.array_join("dropped", ","))
+
+
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of all sources at an entropy of 95 % of the greatest, at most four passes."""
     return mixture.mixture(table(spark, sf_dir, "documents"))
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,
     "op6_simhash": op6_simhash,
+    "op7_line_dedup": op7_line_dedup,
     "op8_mixture": op8_mixture,
     "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
@@ -90,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL where SQL can express the operator.
 ORACLE: dict[str, str] = {
+    "op7_line_dedup": line_dedup.SQL.format(documents="documents"),
     "op8_mixture": mixture.SQL.format(documents="documents"),
 }

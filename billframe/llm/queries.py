@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.llm import decontaminate, extract_main, line_dedup, lm_lattice, mixture, quality_fm, quality_rules, simhash, token_count
+from billframe.llm import decontaminate, extract_main, licence_scan, line_dedup, lm_lattice, mixture, quality_fm, quality_rules, simhash, token_count
 from billframe.llm.common import crc_mod, tune
 from billframe.sources.tables import table
 
@@ -21,6 +21,18 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document: names, number of passages and best containment."""
+    docs = table(tune(spark), sf_dir, "documents")
+    found = licence_scan.license_matches(docs, licence_scan.template_table(spark))
+    return found.select(
+        "doc_id",
+        F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+        F.size("matches").cast("long").alias("n_matches"),
+        F.coalesce(F.array_max("matches.containment"), F.lit(0.0)).alias("containment"),
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and risk-controlled verdict of every document, by language."""
     found = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -84,6 +96,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_lm_score": op3_lm_score,
     "op4_quality": op4_quality,

@@ -101,6 +101,17 @@ def map_texts(
     return df.select(*carry, "text").mapInArrow(run, out)
 
 
+def kept_in_worker(key: tuple, build: Callable):
+    """What ``build`` makes, once for each Python worker rather than for each task."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("billframe_worker_state", types.ModuleType("billframe_worker_state")).__dict__
+    if key not in held:
+        held[key] = build()
+    return held[key]
+
+
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write a stage as Parquet in the shared folder and read it back.
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billframe.llm.common import map_texts
+from billframe.llm.common import kept_in_worker, map_texts
 
 #: Texts longer than this many characters are counted in chunks.
 CHUNK_CHARS = 32_768
@@ -436,6 +436,12 @@ def finish(machine: Transducer, whole: tuple) -> int:
 
 # --- Spark ------------------------------------------------------------------
 
+
+def transducer(path: str) -> Transducer:
+    """The compiled table of a Python worker, which grows from task to task."""
+    return kept_in_worker(("transducer", path), lambda: Transducer(path))
+
+
 _COUNT = [T.StructField("n_tokens", T.LongType(), False)]
 _MAP = [
     T.StructField("head", T.StringType(), False),
@@ -462,7 +468,7 @@ def token_counts(
     ).withColumn("n_bytes", F.octet_length("body").cast("long"))
 
     def make():
-        machine = Transducer(tokenizer)
+        machine = transducer(tokenizer)
         return lambda texts: [[machine.count(x.decode("utf-8")) for x in texts]]
 
     short = base.where(F.length("body") <= chunk_chars).withColumn("text", F.col("body").cast("binary"))
@@ -488,7 +494,7 @@ def _long_counts(base: DataFrame, tokenizer: str, chunk_chars: int) -> DataFrame
     )
 
     def make_maps():
-        machine = Transducer(tokenizer)
+        machine = transducer(tokenizer)
         return lambda texts: [list(c) for c in zip(*(chunk_map(machine, x.decode("utf-8")) for x in texts), strict=True)]
 
     maps = map_texts(chunks, make_maps, _MAP, carry=["row", "doc_id", "n_bytes", "part", "at"])
@@ -497,7 +503,7 @@ def _long_counts(base: DataFrame, tokenizer: str, chunk_chars: int) -> DataFrame
     )
 
     def make_counts():
-        machine = Transducer(tokenizer)
+        machine = transducer(tokenizer)
 
         def work(rows: list[list[dict]]) -> list[list]:
             out = []

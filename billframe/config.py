@@ -68,6 +68,19 @@ DATE_PATTERNS = (
 # case-insensitively, the codes Rs / Rs. / INR / GBP / USD / EUR.
 CURRENCY_NOISE_REGEX = r"[₹`£$€]|(?i:Rs\.?|INR|GBP|USD|EUR)"
 
+# Shapes of printed values: digits that print a gap or an underscore apart, an
+# amount in parentheses, decoration before a label, a rate, a numeric date.
+KERNING_REGEX = r"(?U)(?<=\d)\s+(?=\d)"
+DIGIT_UNDERSCORE_REGEX = r"(?<=\d)_(?=\d)"
+PARENTHESISED_REGEX = r"(?s)^\((.*)\)$"
+LEADING_DECORATION_REGEX = r"(?U)^[\-\*•\s]+"
+NUMBER_REGEX = r"(\d+(?:\.\d+)?)"
+NUMERIC_DATE_REGEX = r"(?U)^\s*(\d{1,2})\s*[/\-.]\s*(\d{1,2})\s*[/\-.]\s*(\d{2,4})\s*$"
+
+# Error types of failed documents, by stage.
+EXTRACTION_ERROR = "TextractExtractionError"
+MAPPING_ERROR = "BedrockMappingError"
+
 # Reporting currency.
 TARGET_CURRENCY = "GBP"
 
@@ -87,7 +100,6 @@ DQ_RULES: tuple[tuple[str, str, str], ...] = (
     ("DUPLICATE_SKIPPED", "special", "storage"),
 )
 SOFT_RULES = tuple(n for n, sev, _ in DQ_RULES if sev == "soft_warn")
-HARD_RULES = tuple(n for n, sev, _ in DQ_RULES if sev == "hard_fail")
 
 # Outcomes.
 LOADED = "LOADED"
@@ -106,12 +118,8 @@ DESCRIPTION_COLUMNS = ("ITEM", "DESCRIPTION", "PRODUCT_CODE", "NAME")
 
 # Display fields of a query answer sample.
 DISPLAY_FIELDS = ("company_name", "invoice_reference_number", "total_amount", "currency", "status", "date")
-QUERY_OPERATIONS = ("scan_all", "query_status", "query_month")
-QUERY_AGGREGATIONS = ("count", "sum_total_amount", "list")
 
-PDF_MAGIC = b"%PDF-"
 MAX_DOCUMENT_SIZE_BYTES = 500 * 1024 * 1024
-MAX_DOCUMENT_PAGES = 3000
 MIGRATION_ITEM_THRESHOLD = 1_000_000
 SCHEMA_VERSION = 1
 ANSWER_SAMPLE_SIZE = 5

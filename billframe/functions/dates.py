@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from billframe.config import DATE_PATTERNS
+from billframe.config import DATE_PATTERNS, NUMERIC_DATE_REGEX
 from billframe.functions.text import clean_ws
 
 # A digit run of exactly three or of five or more digits can match none of the
 # accepted layouts (days/months take 1-2 digits, years exactly 4), although
 # Spark's lenient numeric parsing would otherwise accept some of them.
 _BAD_DIGIT_RUN = r"(^|[^0-9])([0-9]{3}|[0-9]{5,})([^0-9]|$)"
-_NUMERIC_DATE = r"(?U)^\s*(\d{1,2})\s*[/\-.]\s*(\d{1,2})\s*[/\-.]\s*(\d{2,4})\s*$"
 
 
 def _c(col) -> Column:
@@ -58,9 +57,9 @@ def date_error(col) -> Column:
 def date_is_ambiguous(col) -> Column:
     """numeric d/m/y text whose first two parts are both within 1..12."""
     raw = _c(col).cast("string")
-    first = F.regexp_extract(raw, _NUMERIC_DATE, 1)
-    second = F.regexp_extract(raw, _NUMERIC_DATE, 2)
-    matched = raw.rlike(_NUMERIC_DATE)
+    first = F.regexp_extract(raw, NUMERIC_DATE_REGEX, 1)
+    second = F.regexp_extract(raw, NUMERIC_DATE_REGEX, 2)
+    matched = raw.rlike(NUMERIC_DATE_REGEX)
     a = first.try_cast("int")
     b = second.try_cast("int")
     return F.coalesce(matched & a.between(1, 12) & b.between(1, 12), F.lit(False))

@@ -11,16 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from billframe.config import CURRENCY_NOISE_REGEX, DEFAULT_SETTINGS
+from billframe.config import (
+    CURRENCY_NOISE_REGEX,
+    DEFAULT_SETTINGS,
+    DIGIT_UNDERSCORE_REGEX,
+    KERNING_REGEX,
+    PARENTHESISED_REGEX,
+)
 from billframe.functions.text import is_nullish, strip_ws
 
 MONEY_TYPE = f"decimal({DEFAULT_SETTINGS.money_precision},{DEFAULT_SETTINGS.money_scale})"
 RATE_TYPE = f"decimal({DEFAULT_SETTINGS.rate_precision},{DEFAULT_SETTINGS.rate_scale})"
 
-_KERNING = r"(?U)(?<=\d)\s+(?=\d)"
-_DIGIT_UNDERSCORE = r"(?<=\d)_(?=\d)"
-_PARENTHESISED = r"(?s)^\((.*)\)$"
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -35,13 +37,13 @@ def parse_money(col) -> Column:
     """
     raw = _c(col).cast("string")
     s = strip_ws(raw)
-    negative = s.rlike(_PARENTHESISED)
-    body = F.when(negative, F.regexp_extract(s, _PARENTHESISED, 1)).otherwise(s)
+    negative = s.rlike(PARENTHESISED_REGEX)
+    body = F.when(negative, F.regexp_extract(s, PARENTHESISED_REGEX, 1)).otherwise(s)
     body = F.regexp_replace(body, CURRENCY_NOISE_REGEX, "")
-    body = F.regexp_replace(body, _KERNING, "")
+    body = F.regexp_replace(body, KERNING_REGEX, "")
     body = strip_ws(F.regexp_replace(body, ",", ""))
     placeholder = raw.isNull() | is_nullish(body)
-    number = F.regexp_replace(body, _DIGIT_UNDERSCORE, "").try_cast(MONEY_TYPE)
+    number = F.regexp_replace(body, DIGIT_UNDERSCORE_REGEX, "").try_cast(MONEY_TYPE)
     signed = F.when(negative, -number).otherwise(number)
     value = F.when(placeholder, F.lit(0).cast(MONEY_TYPE)).otherwise(signed).cast(MONEY_TYPE)
     error = ~placeholder & signed.isNull()

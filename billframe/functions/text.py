@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from billframe.config import NULLISH
+from billframe.config import LEADING_DECORATION_REGEX, NULLISH
 
 # (?U): Unicode-aware \s, matching Python's str.strip()/re semantics.
 _LEAD_TRAIL_WS = r"(?U)^\s+|\s+$"
 _ANY_WS_RUN = r"(?U)\s+"
-_LEADING_DECORATION = r"(?U)^[\-\*•\s]+"
 
 
 def _c(col) -> Column:
@@ -57,4 +56,4 @@ def normalize_currency(col) -> Column:
 def normalize_label(col) -> Column:
     """B1: collapse whitespace, strip, drop a leading '-', '*', '•' run, strip."""
     collapsed = clean_ws(F.coalesce(_c(col), F.lit("")))
-    return strip_ws(F.regexp_replace(collapsed, _LEADING_DECORATION, ""))
+    return strip_ws(F.regexp_replace(collapsed, LEADING_DECORATION_REGEX, ""))

@@ -1,8 +1,6 @@
 """Currency conversion to the reporting currency.
 
-The rate table is configuration (one row per currency code, bounded by the
-ISO 4217 list), so it is broadcast; a caller-supplied table is broadcast only
-after its row count is checked.
+The rate table holds one row per currency code; its join is left to the planner.
 """
 
 from __future__ import annotations
@@ -13,9 +11,6 @@ from pyspark.sql import functions as F
 from billframe.config import DEFAULT_SETTINGS, TARGET_CURRENCY, Settings
 from billframe.functions.money import MONEY_TYPE, RATE_TYPE
 
-# A rates table beyond this many rows is joined without a broadcast hint.
-BROADCAST_RATE_ROWS = 10_000
-
 
 def fx_table(spark: SparkSession, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
     """(currency, fx_rate decimal(18,8), fx_as_of date) from settings."""
@@ -27,16 +22,13 @@ def fx_table(spark: SparkSession, settings: Settings = DEFAULT_SETTINGS) -> Data
     )
 
 
-def attach_rates(df: DataFrame, currency_col: str, rates: DataFrame, known_small: bool = False) -> DataFrame:
+def attach_rates(df: DataFrame, currency_col: str, rates: DataFrame) -> DataFrame:
     """Left-join the rate for the upper-trimmed code; non-positive rates are absent.
 
-    ``known_small`` marks a table built from configuration; any other table is
-    broadcast only after a bounded row count proves it small.
+    The rate table is left to the planner, which broadcasts it when it is small.
     """
     valid = rates.where(F.col("fx_rate") > 0)
-    small = known_small or valid.limit(BROADCAST_RATE_ROWS + 1).count() <= BROADCAST_RATE_ROWS
-    side = F.broadcast(valid) if small else valid
-    return df.join(side, F.upper(F.trim(F.col(currency_col))) == F.col("fx_currency"), "left").drop("fx_currency")
+    return df.join(valid, F.upper(F.trim(F.col(currency_col))) == F.col("fx_currency"), "left").drop("fx_currency")
 
 
 def to_gbp(amount: Column, rate: Column) -> Column:

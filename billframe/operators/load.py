@@ -3,7 +3,8 @@
 Dedup is a partial aggregation (min load order per folded key, history keys
 first) plus one join on ``dedup_key``: map-side combining keeps a hot key to
 one row per task before the shuffle, and AQE's skew-join split handles a hot
-key on the join's big side. Quarantined rows never enter the shuffle.
+key on the join's big side. Quarantined rows take part under keys of their own,
+so they spread evenly and match nothing.
 """
 
 from __future__ import annotations
@@ -115,7 +116,7 @@ def outcomes(classified: DataFrame) -> DataFrame:
         F.col("status").alias("outcome"),
         F.when(dup | q, F.array().cast("array<string>")).otherwise(F.col("dq_flags")).alias("dq_flags"),
         F.when(q, F.col("error_type")).alias("error_type"),
-        F.when(q, F.col("hard_rule")).when(dup, F.concat(F.col("dedup_key"), F.lit(" already loaded"))).alias("error_message"),
+        F.when(q, F.col("hard_rule")).when(dup, F.concat(F.col("dedup_key"), F.lit(" was loaded before"))).alias("error_message"),
         F.when(~(dup | q), F.col("dedup_key")).alias("dedup_key"),
     )
 

@@ -219,7 +219,7 @@ def apply_aliases(summary_fields: DataFrame, head: DataFrame, alias: DataFrame,
         F.coalesce(F.col("source_labels"), F.create_map().cast("map<string,string>")).alias("source_labels"),
         F.create_map().cast("map<string,string>").alias("unmapped_metadata"),
         F.col("multiple_total_candidates"),
-        F.concat(F.lit("mapped from vendor_alias_cache entry "), F.col("vendor_key")).alias("notes"),
+        F.concat(F.lit("labels known from earlier invoices of vendor "), F.col("vendor_key")).alias("notes"),
         F.col("model_id"),
         F.lit("vendor_alias_cache").alias("source"),
         F.lit(0).alias("attempts"),

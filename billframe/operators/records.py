@@ -55,7 +55,6 @@ def _ensure(df: DataFrame, name: str, default: Column) -> DataFrame:
 
 def build_records(mapped: DataFrame, rates: DataFrame | None = None, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
     spark = mapped.sparkSession
-    known_small = rates is None
     rates = rates if rates is not None else fx_table(spark, settings)
     df = mapped
     df = _ensure(df, "extraction_confidence", F.create_map().cast("map<string,double>"))
@@ -68,7 +67,7 @@ def build_records(mapped: DataFrame, rates: DataFrame | None = None, settings: S
 
     # D5 + E1: currency code and its rate.
     df = df.withColumn("_ccy", normalize_currency(_field("currency")))
-    df = attach_rates(df, "_ccy", rates, known_small=known_small)
+    df = attach_rates(df, "_ccy", rates)
 
     # Stage 1 — D1-D4: parse every raw field exactly once.
     parsed = {
@@ -129,15 +128,15 @@ def build_records(mapped: DataFrame, rates: DataFrame | None = None, settings: S
         return F.struct(F.lit(loc).alias("loc"), F.lit(msg).alias("msg"), F.lit(typ).alias("type"),
                         inp.cast("string").alias("input"))
 
-    detail_items = [F.when(date_err, item("date", "unrecognized date format", "value_error", F.col("_raw_date")))]
+    detail_items = [F.when(date_err, item("date", "no accepted layout fits this date", "value_error", F.col("_raw_date")))]
     for m in MANDATORY_TEXT_FIELDS:
-        detail_items.append(F.when(mand_err[m], item(m, "mandatory field received nullish literal value",
+        detail_items.append(F.when(mand_err[m], item(m, "a required field holds no value",
                                                      "value_error", _field(m))))
     for m in MONEY_FIELDS:
-        detail_items.append(F.when(money_err[m], item(m, "cannot coerce to Decimal", "value_error", _field(m))))
+        detail_items.append(F.when(money_err[m], item(m, "not an amount of money", "value_error", _field(m))))
     validation_detail = F.filter(F.array(*detail_items), lambda x: x.isNotNull())
-    negative_detail = F.array(item("", "money field violates >=0 domain constraint", "value_error", F.lit(None)))
-    rate_detail = F.array(item("currency", "no FX rate for currency", "UnknownCurrencyError", _field("currency")))
+    negative_detail = F.array(item("", "an amount is below zero", "value_error", F.lit(None)))
+    rate_detail = F.array(item("currency", "the rate table lacks this currency", "UnknownCurrencyError", _field("currency")))
     error_detail = F.coalesce(
         F.col("error_detail"),
         F.when(no_rate, rate_detail).when(field_errors, validation_detail).when(F.col("_neg"), negative_detail),

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.config import DEFAULT_SETTINGS, Settings
+from billframe.config import DEFAULT_SETTINGS, EXTRACTION_ERROR, MAPPING_ERROR, Settings
 from billframe.operators import extract as X
 from billframe.operators import load as L
 from billframe.operators import mapping as M
@@ -99,8 +99,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: S
     extraction_bad = ~F.coalesce(F.col("job_ok"), F.lit(False)) | ~F.coalesce(F.col("extraction_ok"), F.lit(False))
     mapping_bad = ~F.coalesce(F.col("mapping_ok"), F.lit(False))
     rule = F.coalesce(F.col("hard_rule"), F.when(extraction_bad | mapping_bad, F.lit("EXTRACTION_FAILED")))
-    etype = F.coalesce(F.col("error_type"), F.when(extraction_bad, F.lit("TextractExtractionError"))
-                       .when(mapping_bad, F.lit("BedrockMappingError")))
+    etype = F.coalesce(F.col("error_type"), F.when(extraction_bad, F.lit(EXTRACTION_ERROR))
+                       .when(mapping_bad, F.lit(MAPPING_ERROR)))
     stage = F.coalesce(F.col("failed_at_stage"), F.when(extraction_bad, F.lit("extraction")).when(mapping_bad, F.lit("mapping")))
     empty_fields = F.struct(*[F.lit(None).cast("string").alias(n) for n in M.FIELDS_TYPE.names])
     docs = docs.select(

@@ -18,7 +18,7 @@ from billframe.operators.load import gold_items, tombstones
 from billframe.plans import rendered as R
 from billframe.session import configure
 from billframe.sources.rendered import rendered_orders
-from billframe.sources.tables import spread, table
+from billframe.sources.tables import table
 
 M2 = "decimal(18,2)"
 
@@ -52,7 +52,7 @@ def coerce_date(spark: SparkSession, sf: str) -> DataFrame:
 
 def nullish_fields(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
-    c = spread(table(spark, sf, "customer").select("c_custkey", "c_name"))
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
     k = F.col("c_custkey")
     raw = (
         F.when(k % 6 == 0, F.lit("null")).when(k % 6 == 1, F.lit(" None ")).when(k % 6 == 2, F.lit(""))
@@ -69,11 +69,11 @@ def nullish_fields(spark: SparkSession, sf: str) -> DataFrame:
 def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
     amount = (F.round(F.col("_price") * 100).cast("long").cast("decimal(20,0)") / 100).cast("decimal(28,8)")
-    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("_price")))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("_price"))
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", amount.alias("amount"), F.col("c_nationkey"))
     codes = F.element_at(F.array(*[F.lit(x) for x in ("GBP", "INR", "USD", "EUR", " inr ", "JPY")]), (F.col("c_nationkey") % 6 + 1).cast("int"))
-    j = attach_rates(j.withColumn("ccy", F.upper(F.trim(codes))), "ccy", fx_table(spark), known_small=True)
+    j = attach_rates(j.withColumn("ccy", F.upper(F.trim(codes))), "ccy", fx_table(spark))
     gbp = F.when(F.col("ccy") == "GBP", F.col("amount")).otherwise(to_gbp(F.col("amount"), F.col("fx_rate")))
     return j.select(
         "o_orderkey",
@@ -115,8 +115,8 @@ def flag_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def key_fold(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
-    s = spread(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("supplier").alias("src")))
-    p = spread(table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.lit("part").alias("src")))
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("supplier").alias("src"))
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.lit("part").alias("src"))
     u = s.unionByName(p)
     k = F.col("id")
     accented = F.translate("name", "aeiouAEIOUcn", "áéíóúÁÉÍÓÚçñ")
@@ -328,7 +328,7 @@ def _attempts(spark, sf):
     """Captured model responses rendered from orders: attempt 1 lacks the tool
     call when k % 3 = 0; attempt 2 leaves company blank when k % 9 = 0;
     attempt 3 is valid but beyond the two allowed attempts."""
-    o = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
     a = o.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("attempt"))
     full = k % 2 == 0
@@ -393,7 +393,7 @@ def size_gate(spark: SparkSession, sf: str) -> DataFrame:
     from billframe.sources.manifest import size_rejected
 
     configure(spark)
-    d = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
     size = F.octet_length("text").cast("bigint")
     magic = F.substring(F.col("text"), 1, 5) == F.lit("%PDF-")
     return d.select("doc_id", size.alias("size_bytes"), size_rejected(size).alias("size_rejected"),
@@ -405,7 +405,7 @@ def manifest_diff(spark: SparkSession, sf: str) -> DataFrame:
     from billframe.sources.manifest import manifest_diff as diff
 
     configure(spark)
-    d = spread(table(spark, sf, "documents").select("doc_id", "n_chars", "source"))
+    d = table(spark, sf, "documents").select("doc_id", "n_chars", "source")
     cur = d.select("doc_id", F.lit("2026-05-14").cast("date").alias("batch_date"),
                    F.format_string("doc_%d.pdf", "doc_id").alias("filename"), F.col("n_chars").alias("size_bytes"))
     mirrored = d.where(F.col("doc_id") % 3 != 0).select(
@@ -418,7 +418,7 @@ def batch_partition(spark: SparkSession, sf: str) -> DataFrame:
     from billframe.sources.manifest import batch_date_prefix
 
     configure(spark)
-    e = spread(table(spark, sf, "events").select("event_id", "ts"))
+    e = table(spark, sf, "events").select("event_id", "ts")
     d = F.to_date("ts")
     return e.groupBy(d.alias("batch_date")).agg(F.count(F.lit(1)).alias("n_files")).select(
         "batch_date", batch_date_prefix(F.col("batch_date")).alias("prefix"),

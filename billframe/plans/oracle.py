@@ -115,7 +115,7 @@ WITH l AS (
 ), o AS (
   SELECT o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS c, CAST(o_orderdate AS DATE) AS d,
          (o_orderkey % 7 = 0) AS low
-  FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+  FROM orders
 ), cells AS (
   SELECT k, row_index, 0 AS col_pos, 'ITEM' AS col, item AS value, CAST(90 AS DOUBLE) AS confidence FROM l
   UNION ALL SELECT k, row_index, 1, 'Qty', CASE WHEN n % 5 = 0 THEN 'dup' ELSE qty END, qty_conf FROM l
@@ -256,15 +256,15 @@ SELECT k, row_index, 'Qty', qty, (88 + qty_conf) / 2 FROM l""",
 SELECT o.k AS o_orderkey, CASE WHEN low THEN 'AnalyzeDocument' ELSE 'AnalyzeExpense' END AS api,
        CASE WHEN low THEN 2 ELSE 0 END AS n_warnings, TRUE AS extraction_ok,
        CAST(CASE WHEN low THEN 5 ELSE 3 END AS BIGINT) AS n_summary_fields,
-       CAST(CASE WHEN low THEN 2 * nl.n ELSE nl.n END AS BIGINT) AS n_line_items
-FROM o JOIN nl ON o.k = nl.k""",
+       CAST(coalesce(CASE WHEN low THEN 2 * nl.n ELSE nl.n END, 0) AS BIGINT) AS n_line_items
+FROM o LEFT JOIN nl ON o.k = nl.k""",
     "product_name_join": _LINES + """
 SELECT k AS o_orderkey, string_agg(item, '; ' ORDER BY row_index) AS product_name FROM l GROUP BY k""",
     "resolve_confidence": _LINES + """
 SELECT k AS o_orderkey, 'company_name' AS field, confidence FROM summ WHERE item = 0
 UNION ALL SELECT k, 'total_amount', confidence FROM summ WHERE item = 1
 UNION ALL SELECT k, 'date', confidence FROM summ WHERE item = 2
-UNION ALL SELECT k, 'product_name', CAST(90 AS DOUBLE) FROM o""",
+UNION ALL SELECT DISTINCT k, 'product_name', CAST(90 AS DOUBLE) FROM l""",
     "attempt_select": """
 SELECT o_orderkey,
   (o_orderkey % 9 <> 0) AS mapping_ok,

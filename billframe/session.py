@@ -7,6 +7,7 @@ runtime SQL options their semantics depend on.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -70,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name a shared folder")
     local = tempfile.mkdtemp(prefix="billframe-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

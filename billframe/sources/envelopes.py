@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.sources.tables import spread, table
+from billframe.sources.tables import table
 
 
 def read_json_folder(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
@@ -42,8 +42,8 @@ def _cents_text(c: Column) -> Column:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
-                                                        "l_extendedprice"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                                        "l_extendedprice")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     li = li.join(part, li.l_partkey == part.p_partkey)
     return li.select(
@@ -58,7 +58,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rendered_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source_file, load_order, body) expense envelopes, one per order with lines."""
+    """(source_file, load_order, body) expense envelopes, one per order (without lines: an empty group)."""
     lines = _lines(spark, sf_dir)
     n = F.col("l_linenumber")
     null_det = F.lit(None).cast("struct<Text:string,Confidence:double>")
@@ -77,8 +77,8 @@ def rendered_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.groupBy("l_orderkey").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("line_order", cells.alias("f")))),
                     lambda x: F.struct(x["f"].alias("LineItemExpenseFields"))).alias("items"))
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate"))
-    j = o.join(rows, o.o_orderkey == rows.l_orderkey)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    j = o.join(rows, o.o_orderkey == rows.l_orderkey, "left")
     k = F.col("o_orderkey")
     total = _cents_text(F.round(F.col("o_totalprice") * 100).cast("long"))
     low = k % 7 == 0  # weak OCR: mean confidence below the fallback threshold
@@ -94,7 +94,7 @@ def rendered_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("SUCCEEDED").alias("JobStatus"),
         F.struct(F.lit(1).alias("Pages")).alias("DocumentMetadata"),
         F.array(F.struct(F.lit(1).alias("ExpenseIndex"), summary.alias("SummaryFields"),
-                         F.array(F.struct(F.lit(0).alias("LineItemGroupIndex"), F.col("items").alias("LineItems")))
+                         F.array(F.struct(F.lit(0).alias("LineItemGroupIndex"), F.coalesce("items", F.array()).alias("LineItems")))
                          .alias("LineItemGroups"))).alias("ExpenseDocuments"),
     )
     return j.select(F.format_string("invoice_%d.pdf", k).alias("source_file"), k.alias("load_order"),
@@ -102,9 +102,9 @@ def rendered_expense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rendered_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source_file, load_order, body) block envelopes, one per order with lines."""
+    """(source_file, load_order, body) block envelopes, one per order (without lines: a table of its header only)."""
     lines = _lines(spark, sf_dir)
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
 
     def block(id_, typ, text=None, conf=None, ents=None, child=None, value=None, row=None, col=None, page=1):
         rels = F.filter(F.array(
@@ -145,7 +145,7 @@ def rendered_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("ls", lambda x, i: F.array(F.concat(F.lit("c"), i.cast("string"), F.lit("_1")),
                                                F.concat(F.lit("c"), i.cast("string"), F.lit("_2")))).alias("cids"),
     )
-    j = o.join(per, o.o_orderkey == per.l_orderkey)
+    j = o.join(per, o.o_orderkey == per.l_orderkey, "left")
     k = F.col("o_orderkey")
     total = _cents_text(F.round(F.col("o_totalprice") * 100).cast("long"))
     head = F.array(
@@ -162,12 +162,12 @@ def rendered_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         block(F.lit("w_e"), "WORD", text=F.lit("Total")),
         block(F.lit("v2"), "KEY_VALUE_SET", ents=F.array(F.lit("VALUE")), conf=F.lit(90), child=F.array(F.lit("w_f"))),
         block(F.lit("w_f"), "WORD", text=total),
-        block(F.lit("t1"), "TABLE", child=F.concat(F.array(F.lit("h1"), F.lit("h2")), F.flatten("cids"))),
+        block(F.lit("t1"), "TABLE", child=F.concat(F.array(F.lit("h1"), F.lit("h2")), F.coalesce(F.flatten("cids"), F.array()))),
         block(F.lit("h1"), "CELL", child=F.array(F.lit("w_g")), row=F.lit(1), col=F.lit(1)),
         block(F.lit("w_g"), "WORD", text=F.lit("Description")),
         block(F.lit("h2"), "CELL", child=F.array(F.lit("w_h")), row=F.lit(1), col=F.lit(2)),
         block(F.lit("w_h"), "WORD", text=F.lit("Qty")),
     )
-    env = F.struct(F.lit("SUCCEEDED").alias("JobStatus"), F.concat(head, F.col("lb")).alias("Blocks"))
+    env = F.struct(F.lit("SUCCEEDED").alias("JobStatus"), F.when(F.col("lb").isNull(), head).otherwise(F.concat(head, F.col("lb"))).alias("Blocks"))
     return j.select(F.format_string("invoice_%d.pdf", k).alias("source_file"), k.alias("load_order"),
                     F.to_json(env).alias("body"))

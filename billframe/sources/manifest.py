@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from billframe.config import MAX_DOCUMENT_SIZE_BYTES
+from billframe.config import EXTRACTION_ERROR, MAX_DOCUMENT_SIZE_BYTES
 
 MANIFEST_SCHEMA = (
     "path string, filename string, size_bytes bigint, modified_utc timestamp, "
@@ -80,7 +80,7 @@ def gate_rule(manifest: DataFrame) -> DataFrame:
     """2.J #1-#2: no PDF header, then size gate -> EXTRACTION_FAILED (stage extraction)."""
     fail = (~F.coalesce(F.col("has_pdf_magic"), F.lit(False))) | size_rejected(F.col("size_bytes"))
     return manifest.withColumn("hard_rule", F.when(fail, F.lit("EXTRACTION_FAILED"))).withColumn(
-        "error_type", F.when(fail, F.lit("TextractExtractionError"))).withColumn(
+        "error_type", F.when(fail, F.lit(EXTRACTION_ERROR))).withColumn(
         "failed_at_stage", F.when(fail, F.lit("extraction")))
 
 

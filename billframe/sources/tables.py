@@ -12,16 +12,3 @@ TABLES = (
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A single large row group is one task; the CPU-heavy parsing that follows
-    would then run on one core. Real inputs have many splits and pass through
-    untouched (no shuffle is added).
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

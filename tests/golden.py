@@ -1,8 +1,8 @@
-"""Seven invented invoices with the same shapes and edge cases as the golden batch.
+"""Seven invented invoices that between them reach every outcome of a batch.
 
-No value is taken from real documents: names, numbers and labels are made up;
-only the money/date strings that define the expected arithmetic are chosen to
-give the same outcomes (3 loaded, 3 with warnings, 1 quarantined, £683.34).
+All names, numbers, dates and amounts are made up here. At the test rates
+(100 rupees and 1.25 dollars to the pound) the six valid ones are worth
+120.00 + 25.00 + 40.00 + 0.00 + 310.50 + 10.00 = 505.50 pounds.
 """
 
 from __future__ import annotations
@@ -12,16 +12,16 @@ import os
 
 # (stem, currency, date, total, product, tax, rate, coupon, multiple_totals, buyer_conf)
 DOCS = [
-    ("bill_a", "INR", "2024-01-22", "0.00", "", "0.00", "N/A", "", True, 41.2),
-    ("bill_b", "INR", "12 Apr 2026", "805.82", "698.00", "107.82", "18%", "", True, 97.3),
-    ("bill_c", "GBP", "October 6, 2025", "£607.40", "298.10", "309.30", "N/A", "0", False, 99.0),
-    ("bill_d", "INR", "22-05-2022", "6000.00", "15000.00", "0.00", "9%+9%", "9000.00", True, 95.0),
-    ("bill_e", "INR", "25 July 2025", "₹235.93", "175", "₹9.43", "5%", "52.50", False, 92.0),
-    ("bill_f", "GBP", "23/6/2025", "£19.60", "14.21", "0.90", "N/A", "0", False, 88.0),
-    ("bill_g", "INR", "23-06-2025", "-1,250.00", "", "", "N/A", "", False, 90.0),
+    ("north", "GBP", "14 March 2024", "£120.00", "100.00", "20.00", "20%", "0", False, 95.0),
+    ("ridge", "INR", "2023-11-30", "2,500.00", "2,000.00", "500.00", "25%", "", True, 88.0),
+    ("harbour", "USD", "31/12/2024", "$50.00", "40.00", "10.00", "N/A", "0", False, 91.0),
+    ("meadow", "INR", "28-02-2025", "0.00", "", "0.00", "N/A", "", False, 33.3),
+    ("quarry", "GBP", "May 19, 2025", "£310.50", "310.50", "0.00", "4%+4%", "0", False, 77.0),
+    ("willow", "INR", "27 August 2025", "₹1,000", "800", "₹200", "25%", "100", False, 66.0),
+    ("timber", "GBP", "16.07.2025", "(75.00)", "", "", "N/A", "", False, 90.0),
 ]
 
-TEST_RATES = {"INR": "125", "USD": "1.25", "GBP": "1"}
+TEST_RATES = {"INR": "100", "USD": "1.25", "GBP": "1"}
 
 
 def _field(typ, label, value, conf):
@@ -35,9 +35,9 @@ def write_batch(root: str) -> dict[str, str]:
     for d in (raw, ocr, model):
         os.makedirs(d, exist_ok=True)
     for i, (stem, ccy, date, total, product, tax, rate, coupon, multi, bconf) in enumerate(DOCS):
-        with open(os.path.join(raw, f"{stem}.pdf"), "wb") as fh:
+        with open(os.path.join(raw, folder, f"{stem}.pdf"), "wb") as fh:
             fh.write(b"%PDF-1.4\n% invented test document\n")
-        vendor = f"Vendor {chr(65 + i)} Trading"
+        vendor = f"{stem.title()} Supplies"
         env = {"JobStatus": "SUCCEEDED", "ExpenseDocuments": [{"ExpenseIndex": 1, "SummaryFields": [
             _field("VENDOR_NAME", "Seller", vendor, 98.0),
             _field("RECEIVER_NAME", "Customer Name", f"Buyer {i}", bconf),

@@ -142,13 +142,12 @@ def vendor_keys(summary_fields: DataFrame) -> DataFrame:
     )
 
 
-def learn_aliases(payloads: DataFrame, order_col: str = "load_order") -> tuple[DataFrame, DataFrame]:
-    """(alias_head, alias) from model-sourced payloads of completed batches.
+def learn_entries(payloads: DataFrame, order_col: str = "load_order") -> DataFrame:
+    """The best alias entry of every vendor in model-sourced payloads, labels included.
 
-    alias_head: vendor_key, company_name, coverage, constants map, model_id,
-    multiple_total_candidates, learned_order. One entry per vendor: highest
-    coverage, ties -> the later payload.
-    alias: (vendor_key, label, canonical) for the chosen entries.
+    vendor_key, company_name, labels (canonical -> printed), constants,
+    coverage, model_id, multiple_total_candidates, learned_order: one row per
+    vendor, that with the highest coverage, ties -> the later payload.
     """
     names = list(canonical_names())
     n = float(len(names))
@@ -170,14 +169,22 @@ def learn_aliases(payloads: DataFrame, order_col: str = "load_order") -> tuple[D
         F.coalesce(F.col("multiple_total_candidates"), F.lit(False)).alias("multiple_total_candidates"),
         F.col(order_col).alias("learned_order"),
     )
-    best = src.groupBy("vendor_key").agg(
+    return src.groupBy("vendor_key").agg(
         F.max_by(F.struct(*src.columns), F.struct("coverage", "learned_order")).alias("e")
     ).select("e.*")
-    alias = best.select("vendor_key", F.explode("labels").alias("canonical", "label")).select(
+
+
+def alias_tables(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(head without labels, vendor_key / label / canonical) of alias entries."""
+    alias = entries.select("vendor_key", F.explode("labels").alias("canonical", "label")).select(
         "vendor_key", strip_ws(F.col("label")).alias("label"), "canonical"
     ).where(F.col("label") != "")
-    head = best.drop("labels")
-    return head, alias
+    return entries.drop("labels"), alias
+
+
+def learn_aliases(payloads: DataFrame, order_col: str = "load_order") -> tuple[DataFrame, DataFrame]:
+    """Head and alias tables of the best entries."""
+    return alias_tables(learn_entries(payloads, order_col))
 
 
 def apply_aliases(summary_fields: DataFrame, head: DataFrame, alias: DataFrame,
@@ -265,7 +272,7 @@ def confidence_maps(summary_fields: DataFrame, line_cells: DataFrame | None) ->
         F.map_from_entries(F.collect_list(F.struct("k", "c"))).alias("summary_conf"))
     if line_cells is None:
         return s.withColumn("line_conf", F.create_map().cast("map<string,double>"))
-    li = line_cells.where(F.col("confidence").isNotNull() & (F.col("confidence") != 0)).select(
+    li = line_cells.where(F.col("confidence").isNotNull()).select(
         "source_file", normalize_label("col").alias("k"), F.round("confidence", 2).alias("c")).where(F.col("k") != "")
     li = li.groupBy("source_file", "k").agg(F.min("c").alias("c")).groupBy("source_file").agg(
         F.map_from_entries(F.collect_list(F.struct("k", "c"))).alias("line_conf"))

@@ -6,15 +6,18 @@
     payloads ──records (coerce, FX, rules, flags)──► stage (written once)
     stage ──first write wins vs. gold──► gold (append, by month) | tombstones | sidecars | outcomes
 
-Every stage is a DataFrame; a failing document becomes a row with a
-``hard_rule``, never an exception. Re-running a batch appends nothing new:
-its keys are already in gold (DUPLICATE_SKIPPED), quarantines repeat.
+Documents are named by their path below the batch's folder, in every stage and
+every join. A failing document becomes a row with a ``hard_rule``, never an
+exception. Each sink but gold keeps one folder for each batch and replaces it,
+so running a batch again leaves one copy of everything; its keys are already
+in gold, so nothing is appended there (DUPLICATE_SKIPPED).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,24 +27,43 @@ from billframe.config import DEFAULT_SETTINGS, EXTRACTION_ERROR, MAPPING_ERROR,
 from billframe.operators import extract as X
 from billframe.operators import load as L
 from billframe.operators import mapping as M
-from billframe.operators.records import build_records
 from billframe.operators.fx import fx_table
+from billframe.operators.records import build_records
 from billframe.plans.stages import materialize
 from billframe.session import configure
 from billframe.sources.envelopes import read_json_folder
-from billframe.sources.manifest import discover_files, gate_rule
+from billframe.sources.manifest import (
+    discover_files,
+    document_key,
+    gate_rule,
+    in_order,
+    limit_batch,
+    partition_root,
+    relative_path,
+    resolve_batch_date,
+)
 
 
 @dataclass
 class BatchPaths:
     raw: str            # PDFs (read-only)
-    ocr: str            # <stem>.json expense envelopes, <stem>.blocks.json block envelopes
-    model: str          # <stem>.mapped.json tool inputs or <stem>.attempt<N>.json responses
+    ocr: str            # <path>.json expense envelopes, <path>.blocks.json block envelopes
+    model: str          # <path>.mapped.json tool inputs or <path>.attempt<N>.json responses
     out: str            # gold/, tombstones/, quarantine/, silver/, outcomes/, alias/
 
 
-def _stem_to_pdf(col):
-    return F.concat(F.regexp_replace(col, r"(\.blocks|\.mapped|\.attempt\d+)?\.json$", ""), F.lit(".pdf"))
+def _captured(spark: SparkSession, folder: str) -> DataFrame:
+    """Captured JSON files with the document each belongs to."""
+    return read_json_folder(spark, folder).withColumn(
+        "source_file", document_key(relative_path(spark, F.col("path"), folder, encoded=True)))
+
+
+def _replace(df: DataFrame, out: str, sink: str, batch_id: str, kind: str = "parquet") -> DataFrame:
+    """Write a batch's rows of a sink, in place of any it had, and read them back."""
+    path = os.path.join(out, sink, f"batch_id={batch_id}")
+    rows = df.drop("batch_id")
+    rows.write.mode("overwrite").format(kind).save(path)
+    return df.sparkSession.read.format(kind).schema(rows.schema).load(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -51,22 +73,37 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: Settings = DEFAULT_SETTINGS,
-              rates: DataFrame | None = None, now: str | None = None) -> dict[str, DataFrame]:
+              rates: DataFrame | None = None, now: str | None = None, batch_date: str | _dt.date | None = None,
+              limit: int | None = None, only: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Run one batch. ``batch_date``: take the files of that date's folder (A4, A5); ``limit``: only
+    the first so many in path order (A16); ``only``: only files with these paths (column path)."""
     configure(spark)
+    run = uuid.uuid4().hex  # stages of this run alone
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
-    manifest = gate_rule(discover_files(spark, paths.raw)).withColumn("source_file", F.col("filename"))
-
-    # Extraction (B2-B12): expense envelopes, block fallback for unusable ones.
-    ocr = read_json_folder(spark, paths.ocr).withColumn("source_file", _stem_to_pdf(F.col("json_name")))
-    expense = X.parse_envelopes(ocr.where(~F.col("json_name").endswith(".blocks.json")))
-    blocks = ocr.where(F.col("json_name").endswith(".blocks.json")).select("source_file", "body")
-    summary0 = X.expense_summary_fields(expense)
-    items0 = X.expense_line_items(expense)
-    summary, items, headers = X.fallback_merge(summary0, items0, blocks, expense.select("source_file"), settings)
-    job_ok = expense.select("source_file", (F.col("env").isNotNull() & (F.coalesce(F.col("env.JobStatus"), F.lit("SUCCEEDED")) != "FAILED")).alias("job_ok"))
+    raw = partition_root(paths.raw, resolve_batch_date(batch_date)) if batch_date is not None else paths.raw
+    found = discover_files(spark, raw)
+    if only is not None:
+        found = found.join(only.select("path").distinct(), "path", "left_semi")
+    manifest = gate_rule(in_order(limit_batch(found, limit))).withColumn(
+        "source_file", document_key(relative_path(spark, F.col("path"), paths.raw)))
+    manifest = materialize(manifest, "batch_manifest", (run,), spark=spark)
+    wanted = manifest.where(F.col("hard_rule").isNull()).select("source_file")
+
+    # Extraction (B2-B12): expense envelopes, block fallback for unusable ones. Its results are
+    # written once: silver (A10) is what every later step reads.
+    ocr = _captured(spark, paths.ocr).join(wanted, "source_file", "left_semi")
+    is_block = F.col("json_name").endswith(".blocks.json")
+    expense = materialize(X.parse_envelopes(ocr.where(~is_block)).drop("body"), "batch_expense", (run,), spark=spark)
+    blocks = ocr.where(is_block).select("source_file", "body")
+    summary, items, headers = X.fallback_merge(
+        X.expense_summary_fields(expense), X.expense_line_items(expense), blocks, expense.select("source_file"), settings)
+    headers = headers.join(expense.select("source_file", X.job_succeeded(F.col("env")).alias("job_ok")), "source_file", "left")
+    summary = _replace(summary, paths.out, "silver/summary_fields", batch_id)
+    items = _replace(items, paths.out, "silver/line_items", batch_id)
+    headers = _replace(headers, paths.out, "silver/documents", batch_id)
 
     # Mapping (C1-C4, C8-C9): captured attempts, alias hits from earlier batches.
-    model_files = read_json_folder(spark, paths.model).withColumn("source_file", _stem_to_pdf(F.col("json_name")))
+    model_files = _captured(spark, paths.model).join(wanted, "source_file", "left_semi")
     attempts = model_files.select(
         "source_file",
         F.coalesce(F.regexp_extract("json_name", r"\.attempt(\d+)\.json$", 1).try_cast("int"), F.lit(1)).alias("attempt"),
@@ -84,17 +121,18 @@ def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: S
         F.coalesce(F.get_json_object("body", "$.model_id"), F.lit("")).alias("model_id"),
     )
     model_payloads = M.select_attempt(shaped, settings, is_tool_input=True)
-    alias_dir = os.path.join(paths.out, "alias")
-    if _exists(spark, alias_dir + "/head") and _exists(spark, alias_dir + "/labels"):
-        hits = M.apply_aliases(summary, spark.read.parquet(alias_dir + "/head"), spark.read.parquet(alias_dir + "/labels"), settings)
-        payloads = M.route(hits, model_payloads)
+    known = known_aliases(spark, paths.out, but=batch_id)
+    if known is not None:
+        head, labels = M.alias_tables(known)
+        payloads = M.route(M.apply_aliases(summary, head, labels, settings), model_payloads)
     else:
         payloads = model_payloads
     payloads = M.finalize_metadata(payloads, headers, items)
     payloads = M.resolve_confidences(payloads, M.confidence_maps(summary, X.line_cells(items)))
+    payloads = _replace(payloads, paths.out, "silver/mapped", batch_id)
 
     # Failure precedence before validation: gates > extraction > mapping.
-    docs = manifest.join(job_ok, "source_file", "left").join(headers.select("source_file", "extraction_ok"), "source_file", "left") \
+    docs = manifest.join(headers.select("source_file", "extraction_ok", "job_ok"), "source_file", "left") \
         .join(payloads, "source_file", "left")
     extraction_bad = ~F.coalesce(F.col("job_ok"), F.lit(False)) | ~F.coalesce(F.col("extraction_ok"), F.lit(False))
     mapping_bad = ~F.coalesce(F.col("mapping_ok"), F.lit(False))
@@ -112,47 +150,54 @@ def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: S
         rule.alias("hard_rule"), etype.alias("error_type"), stage.alias("failed_at_stage"),
     )
     records = materialize(build_records(docs, rates if rates is not None else fx_table(spark, settings), settings),
-                          "batch_records", (batch_id, paths.out, now), spark=spark)
+                          "batch_records", (run,), spark=spark)
 
-    # Load (K5-K7) against the gold history.
-    gold_dir, stone_dir = os.path.join(paths.out, "gold"), os.path.join(paths.out, "tombstones")
+    # Load (K5-K7) against gold as it is now.
+    gold_dir = os.path.join(paths.out, "gold")
     history = spark.read.parquet(gold_dir).select("dedup_key") if _exists(spark, gold_dir) else None
-    classified = materialize(L.first_write_wins(records, history), "batch_classified", (batch_id, paths.out, now), spark=spark)
-    gold = L.gold_items(classified, batch_id, now)
-    stones = L.tombstones(classified, batch_id, now)
-    gold.write.mode("append").partitionBy("month").parquet(gold_dir)
-    stones.write.mode("append").parquet(stone_dir)
+    classified = materialize(L.first_write_wins(records, history), "batch_classified", (run,), spark=spark)
+    L.gold_items(classified, batch_id, now).write.mode("append").partitionBy("month").parquet(gold_dir)
+    _replace(L.tombstones(classified, batch_id, now), paths.out, "tombstones", batch_id)
     sidecars = L.quarantine_sidecars(classified, payloads.select(
         "source_file", F.to_json(F.struct("fields", "source_labels", "unmapped_metadata")).alias("raw_mapped_payload")),
         batch_id, now)
-    sidecars.write.mode("append").partitionBy("batch_id").json(os.path.join(paths.out, "quarantine"))
-    outcomes = L.outcomes(classified)
-    outcomes.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").parquet(
-        os.path.join(paths.out, "outcomes"))
-    # Silver (A10): the extraction and mapping stages of this batch.
-    summary.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").parquet(
-        os.path.join(paths.out, "silver", "summary_fields"))
-    payloads.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").parquet(
-        os.path.join(paths.out, "silver", "mapped"))
+    _replace(sidecars, paths.out, "quarantine", batch_id, "json")
+    outcomes = _replace(L.outcomes(classified), paths.out, "outcomes", batch_id)
     # Learn aliases from this batch's model payloads for later batches.
-    learn_src = classified.select("source_file", "load_order").join(
-        payloads.where(F.col("source") == "bedrock"), "source_file")
-    head, labels = M.learn_aliases(learn_src)
-    if _exists(spark, alias_dir + "/head"):
-        old_head = spark.read.parquet(alias_dir + "/head")
-        old_labels = spark.read.parquet(alias_dir + "/labels")
-        keep_old = old_head.join(head.select("vendor_key", F.col("coverage").alias("_c")), "vendor_key", "left") \
-            .where(F.col("_c").isNull() | (F.col("coverage") > F.col("_c"))).drop("_c")
-        head = head.join(keep_old.select("vendor_key"), "vendor_key", "left_anti").unionByName(keep_old)
-        labels = labels.join(keep_old.select("vendor_key"), "vendor_key", "left_anti").unionByName(
-            old_labels.join(keep_old.select("vendor_key"), "vendor_key", "left_semi"))
-    head = materialize(head, "alias_head", (batch_id, paths.out, now), spark=spark)
-    labels = materialize(labels, "alias_labels", (batch_id, paths.out, now), spark=spark)
-    head.write.mode("overwrite").parquet(alias_dir + "/head")
-    labels.write.mode("overwrite").parquet(alias_dir + "/labels")
+    learn_src = classified.select("source_file", "load_order").join(payloads.where(F.col("source") == "bedrock"), "source_file")
+    _replace(M.learn_entries(learn_src).withColumn("learned_at", F.lit(now)), paths.out, "alias", batch_id)
     return {"records": records, "classified": classified, "outcomes": outcomes}
 
 
+def known_aliases(spark: SparkSession, out: str, but: str | None = None) -> DataFrame | None:
+    """The best alias entry of every vendor over all batches but one (ties: the latest)."""
+    path = os.path.join(out, "alias")
+    if not _exists(spark, path):
+        return None
+    entries = spark.read.option("basePath", path).parquet(path).withColumn("batch_id", F.col("batch_id").cast("string"))
+    if but is not None:
+        entries = entries.where(F.col("batch_id") != but)
+    return entries.groupBy("vendor_key").agg(
+        F.max_by(F.struct(*[c for c in entries.columns if c != "vendor_key"]), F.struct("coverage", "learned_at", "learned_order")).alias("e")
+    ).select("vendor_key", "e.*")
+
+
+def latest_sidecars(spark: SparkSession, out: str) -> DataFrame:
+    """The last sidecar of every quarantined file."""
+    rows = spark.read.json(os.path.join(out, "quarantine"))
+    return rows.groupBy("source_file").agg(
+        F.max_by(F.struct(*[c for c in rows.columns if c != "source_file"]), "failed_at_utc").alias("s")
+    ).select("source_file", "s.*")
+
+
+def read_silver(spark: SparkSession, out: str, batch_id: str) -> dict[str, DataFrame]:
+    """The extraction and mapping results of a batch, as they were written."""
+    return {
+        name: spark.read.parquet(os.path.join(out, "silver", name, f"batch_id={batch_id}"))
+        for name in ("summary_fields", "line_items", "documents", "mapped")
+    }
+
+
 def read_items(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame | None]:
     """Gold items and tombstones written by earlier batches (Q1 inputs)."""
     gold = spark.read.parquet(os.path.join(out, "gold"))

@@ -1,16 +1,16 @@
 """File discovery, gates and batch identity.
 
-Discovery lists files with Spark's own file index (``binaryFile``, recursive,
-case-insensitive ``.pdf`` glob); only ``length`` and the first five bytes are
-read for the gates. Zero-byte files, which ``binaryFile`` skips, are added from
-a metadata listing so they are still quarantined.
+A listing (path, size, modification time) comes first - from a table if the
+caller keeps one, else from Spark's file index - and the size gate is decided
+on it. Only files within the limit are opened, for their header and digest.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billframe.config import EXTRACTION_ERROR, MAX_DOCUMENT_SIZE_BYTES
@@ -28,7 +28,8 @@ def _path_exists(spark: SparkSession, root: str) -> bool:
 
 
 def _empty_files(spark: SparkSession, root: str) -> list[tuple[str, int]]:
-    """Zero-byte PDFs under root (metadata listing only)."""
+    """Zero-byte PDFs under root, which Spark's file index leaves out (a walk of the tree on the
+    driver: large trees pass a listing instead)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -42,33 +43,84 @@ def _empty_files(spark: SparkSession, root: str) -> list[tuple[str, int]]:
     return out
 
 
-def discover_files(spark: SparkSession, root: str, with_sha256: bool = True) -> DataFrame:
-    """A1-A3: manifest of every ``.pdf`` under root, sorted component-wise by path,
-    with ``discovery_order``. A missing root yields an empty manifest."""
-    if not _path_exists(spark, root):
-        return spark.createDataFrame([], MANIFEST_SCHEMA + ", discovery_order bigint")
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(MAX_DOCUMENT_SIZE_BYTES))
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", "*.[pP][dD][fF]").load(root))
-    readable = F.col("length") <= F.lit(MAX_DOCUMENT_SIZE_BYTES)
-    files = raw.select(
+def relative_path(spark: SparkSession, path: Column, root: str, encoded: bool = False) -> Column:
+    """The part of a file's path below ``root``, whatever form of URI either has.
+
+    ``encoded``: the path is URL-encoded, as in Spark's file metadata column.
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    whole = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    scheme = r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*"
+    base = re.sub(scheme, "/", whole).rstrip("/")
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))) if encoded else path
+    return F.substring(F.regexp_replace(plain, scheme, "/"), len(base) + 2, 1 << 30)
+
+
+def document_key(relative: Column) -> Column:
+    """A document's name in every stage: its relative path, with one form of extension.
+
+    Captured results carry it too, with a suffix for their kind.
+    """
+    return F.concat(F.regexp_replace(relative, r"(?i)(\.blocks|\.mapped|\.attempt\d+)?\.(json|pdf)$", ""), F.lit(".pdf"))
+
+
+def _described(files: DataFrame) -> list[Column]:
+    return [
         F.col("path"),
         F.element_at(F.split("path", "/"), -1).alias("filename"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified_utc"),
-        F.when(readable, F.substring("content", 1, 5) == F.lit(bytearray(b"%PDF-"))).alias("has_pdf_magic"),
-        (F.when(readable, F.sha2("content", 256)) if with_sha256 else F.lit(None).cast("string")).alias("sha256"),
+    ]
+
+
+def discover_files(spark: SparkSession, root: str, with_sha256: bool = True, listing: DataFrame | None = None) -> DataFrame:
+    """A1-A3: manifest of every ``.pdf`` under root; a missing root yields an empty one.
+
+    ``listing`` (path, length, modificationTime) replaces the walk for empty
+    files. Files beyond the size limit come from metadata alone: their rows
+    have no header test and no digest, and their contents are never read.
+    """
+    if not _path_exists(spark, root):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+           .option("pathGlobFilter", "*.[pP][dD][fF]").load(root))
+    small = raw.where(F.col("length") <= MAX_DOCUMENT_SIZE_BYTES)
+    files = small.select(
+        *_described(small),
+        (F.substring("content", 1, 5) == F.lit(bytearray(b"%PDF-"))).alias("has_pdf_magic"),
+        (F.sha2("content", 256) if with_sha256 else F.lit(None).cast("string")).alias("sha256"),
     )
-    empties = _empty_files(spark, root)
-    if empties:
-        e = spark.createDataFrame(empties, "path string, mtime long").select(
-            "path", F.element_at(F.split("path", "/"), -1).alias("filename"), F.lit(0).cast("bigint").alias("size_bytes"),
-            F.timestamp_millis("mtime").alias("modified_utc"), F.lit(False).alias("has_pdf_magic"),
-            F.sha2(F.lit(b"").cast("binary"), 256).alias("sha256"))
-        files = files.unionByName(e)
-    # Path objects sort component-wise; split arrays compare element-wise.
-    # One global order of the (metadata-sized) manifest.
-    return files.withColumn("discovery_order", F.row_number().over(Window.orderBy(F.split("path", "/"))).cast("bigint") - 1)
+    none = [F.lit(None).cast("boolean").alias("has_pdf_magic"), F.lit(None).cast("string").alias("sha256")]
+    large = raw.select("path", "length", "modificationTime").where(F.col("length") > MAX_DOCUMENT_SIZE_BYTES)
+    files = files.unionByName(large.select(*_described(large), *none))
+    if listing is not None:
+        empty = listing.where("length = 0").select("path", "length", "modificationTime")
+    else:
+        empty = spark.createDataFrame(_empty_files(spark, root), "path string, mtime long").select(
+            "path", F.lit(0).cast("bigint").alias("length"), F.timestamp_millis("mtime").alias("modificationTime"))
+    return files.unionByName(empty.select(
+        *_described(empty), F.lit(False).alias("has_pdf_magic"), F.sha2(F.lit(b"").cast("binary"), 256).alias("sha256")))
+
+
+def path_order(path: Column) -> Column:
+    """A1: file paths in order of their components (arrays compare element by element)."""
+    return F.split(path, "/")
+
+
+def in_order(manifest: DataFrame) -> DataFrame:
+    """The manifest with ``discovery_order``: unique, rising along the sorted paths, not dense.
+
+    Sorted by ranges, not in one task. Write the result before using it twice.
+    """
+    key = path_order(F.col("path"))
+    ranged = manifest.withColumn("_key", key).repartitionByRange("_key").sortWithinPartitions("_key")
+    return ranged.withColumn("discovery_order", F.monotonically_increasing_id()).drop("_key")
+
+
+def partition_root(root: str, batch_date: _dt.date, template: str = "%Y/%m/%d") -> str:
+    """A4: the folder of one business date."""
+    return f"{root.rstrip('/')}/{batch_date.strftime(template)}"
 
 
 def size_rejected(size_bytes: Column) -> Column:
@@ -113,4 +165,4 @@ def manifest_diff(current: DataFrame, mirrored: DataFrame) -> DataFrame:
 
 def limit_batch(manifest: DataFrame, n: int | None) -> DataFrame:
     """The first n files of the sorted discovery."""
-    return manifest if n is None else manifest.where(F.col("discovery_order") < n)
+    return manifest if n is None else manifest.orderBy(path_order(F.col("path"))).limit(n)

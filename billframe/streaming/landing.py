@@ -1,12 +1,11 @@
 """Landing-zone mode (structured streaming).
 
 New PDFs landing under ``raw`` are detected by a file-stream source; each
-non-empty micro-batch runs the same batch plan (``foreachBatch``). Round 1
-re-plans the whole landing folder per micro-batch (already-loaded keys come
-back as DUPLICATE_SKIPPED); restricting the plan to the micro-batch's own
-files is open work. ``trigger(availableNow=True)`` drains what is there
-and stops, so a daily job and a continuous one share one code path. Replays
-are safe: first-write-wins turns a re-delivered file into DUPLICATE_SKIPPED.
+non-empty micro-batch runs the batch plan over its own files
+(``foreachBatch``), under a batch id made from its number, so a micro-batch
+that is delivered again replaces its own sinks and adds nothing to gold.
+``trigger(availableNow=True)`` drains what is there and stops, so a daily job
+and a continuous one share one code path.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ def start(spark: SparkSession, paths: BatchPaths, checkpoint: str, settings: Set
     def per_batch(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
-        run_batch(spark, paths, batch_id=f"stream-{epoch:08d}", settings=settings)
+        run_batch(spark, paths, batch_id=f"stream-{epoch:08d}", settings=settings, only=batch)
 
     writer = files.writeStream.foreachBatch(per_batch).option("checkpointLocation", os.path.join(checkpoint, "landing"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -35,14 +35,14 @@ def write_batch(root: str) -> dict[str, str]:
     for d in (raw, ocr, model):
         os.makedirs(d, exist_ok=True)
     for i, (stem, ccy, date, total, product, tax, rate, coupon, multi, bconf) in enumerate(DOCS):
-        with open(os.path.join(raw, folder, f"{stem}.pdf"), "wb") as fh:
+        with open(os.path.join(raw, f"{stem}.pdf"), "wb") as fh:
             fh.write(b"%PDF-1.4\n% invented test document\n")
         vendor = f"{stem.title()} Supplies"
         env = {"JobStatus": "SUCCEEDED", "ExpenseDocuments": [{"ExpenseIndex": 1, "SummaryFields": [
             _field("VENDOR_NAME", "Seller", vendor, 98.0),
             _field("RECEIVER_NAME", "Customer Name", f"Buyer {i}", bconf),
             _field("INVOICE_RECEIPT_ID", "Invoice No", f"REF-{i:04d}", 96.0),
-            _field("INVOICE_RECEIPT_DATE", "-\nInvoice   Date:", date, 97.0),
+            _field("INVOICE_RECEIPT_DATE", "Invoice Date:" if i else "-\nInvoice   Date:", date, 97.0),
             _field("TOTAL", "Grand Total", total, 95.5),
         ], "LineItemGroups": [{"LineItems": [{"LineItemExpenseFields": [
             _field("ITEM", "Description", f"Service {i}", 91.0),
@@ -57,7 +57,8 @@ def write_batch(root: str) -> dict[str, str]:
                        "mode_of_payment": "Card", "currency": ccy},
             "source_labels": {"company_name": "Seller", "buyer_name": "Customer Name",
                               "invoice_reference_number": "Invoice No", "date": "Invoice Date:",
-                              "total_amount": "Grand Total", "product_name": "Description"},
+                              "total_amount": "Grand Total", "product_name": "Description",
+                              "product_amount": "Amount"},
             "unmapped_metadata": {"address": "1 Example Road"},
             "multiple_total_candidates": multi, "model_id": "test-model",
         }

@@ -389,18 +389,6 @@ def alias_learn(spark: SparkSession, sf: str) -> DataFrame:
         F.col("constants").getItem("currency").alias("constant_currency"))
 
 
-def size_gate(spark: SparkSession, sf: str) -> DataFrame:
-    from billframe.sources.manifest import size_rejected
-
-    configure(spark)
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    size = F.octet_length("text").cast("bigint")
-    magic = F.substring(F.col("text"), 1, 5) == F.lit("%PDF-")
-    return d.select("doc_id", size.alias("size_bytes"), size_rejected(size).alias("size_rejected"),
-                    magic.alias("has_pdf_magic"),
-                    F.when(~magic | size_rejected(size), F.lit("EXTRACTION_FAILED")).alias("gate_rule"))
-
-
 def manifest_diff(spark: SparkSession, sf: str) -> DataFrame:
     from billframe.sources.manifest import manifest_diff as diff
 
@@ -458,7 +446,6 @@ QUERIES = {
     "resolve_confidence": resolve_confidence,
     "attempt_select": attempt_select,
     "alias_learn": alias_learn,
-    "size_gate": size_gate,
     "manifest_diff": manifest_diff,
     "batch_partition": batch_partition,
 }

@@ -288,12 +288,6 @@ WITH w AS (
 SELECT vendor_key, CAST(round(covered / 13.0, 4) AS DECIMAL(10, 4)) AS coverage, k AS learned_from,
        CAST(n_aliases AS BIGINT) AS n_aliases, 'INR' AS constant_currency
 FROM r WHERE rn = 1""",
-    "size_gate": """
-SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size_bytes, (strlen(text) <= 0 OR strlen(text) > 524288000) AS size_rejected,
-       (substr(text, 1, 5) = '%PDF-') AS has_pdf_magic,
-       CASE WHEN NOT (substr(text, 1, 5) = '%PDF-') OR strlen(text) <= 0 OR strlen(text) > 524288000
-            THEN 'EXTRACTION_FAILED' END AS gate_rule
-FROM documents""",
     "manifest_diff": """
 SELECT doc_id, printf('doc_%d.pdf', doc_id) AS filename, n_chars AS size_bytes
 FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0""",

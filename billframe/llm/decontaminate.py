@@ -208,3 +208,35 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) ->
 
     tune(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
+
+
+#: The same in DuckDB: windows of every length that items have, joined as strings.
+SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+),
+iw AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(ws[i:i + 9], ' ') AS w, least(10, len(ws)) AS n
+  FROM iw, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS u(i) WHERE len(ws) > 0
+),
+places AS (
+  SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS w
+  FROM dw, (SELECT DISTINCT n FROM windows) AS s, unnest(range(1, len(ws) - n + 2)) AS u(i)
+),
+hits AS (SELECT p.doc_id, p.i, p.n, w.item_id FROM places AS p JOIN windows AS w ON p.w = w.w AND p.n = w.n),
+marked AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(place) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw AS d LEFT JOIN marked AS m ON d.doc_id = m.doc_id LEFT JOIN found AS f ON d.doc_id = f.doc_id
+"""

@@ -239,3 +239,68 @@ def judged(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang") -> DataFrame:
     """Counts and verdict of every row."""
     return judged(write_stage(counts(docs, stratum), "rule-counts"), labels)
+
+
+_LADDER = ", ".join(f"('{m}', {float(c)!r})" for m, cs in CANDIDATES.items() for c in cs)
+_VALUES = ", ".join(f"('{m}', {m})" for m in CANDIDATES)
+
+#: The same in DuckDB, by language; binomial tails by log gamma.
+SQL = rf"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+grams AS (
+  SELECT doc_id, i, concat_ws(' ', ws[i], ws[i + 1], ws[i + 2]) AS g FROM d, unnest(range(1, len(ws) - 1)) AS u(i)
+),
+twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT place) AS n FROM twice, unnest(range(i, i + 3)) AS u(place) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) AS n, count(DISTINCT line) AS n_distinct
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+counted AS (
+  SELECT d.doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(length(t) - length(regexp_replace(t, '[!?]', '', 'g')) AS BIGINT) AS n_marks,
+    CAST(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS BIGINT) AS n_capitals,
+    CAST(length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) AS BIGINT) AS n_digits,
+    coalesce(l.n, 0) AS n_lines, coalesce(l.n - l.n_distinct, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN lines AS l ON d.doc_id = l.doc_id LEFT JOIN repeats AS r ON d.doc_id = r.doc_id
+),
+measured AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    coalesce(n_symbols / nullif(CAST(word_chars AS DOUBLE), 0), 0) AS symbol_share,
+    coalesce(word_chars / nullif(CAST(n_words AS DOUBLE), 0), 0) AS word_length,
+    coalesce(n_dup_lines / nullif(CAST(n_lines AS DOUBLE), 0), 0) AS dup_line_share,
+    coalesce(n_repeat_words / nullif(CAST(n_words AS DOUBLE), 0), 0) AS repeat_share,
+    coalesce(n_capitals / nullif(CAST(word_chars AS DOUBLE), 0), 0) AS capital_share,
+    coalesce(n_marks / nullif(CAST(word_chars AS DOUBLE), 0), 0) AS mark_share,
+    coalesce(n_digits / nullif(CAST(word_chars AS DOUBLE), 0), 0) AS digit_share
+  FROM counted
+),
+long AS (SELECT m.doc_id, m.lang, m.base_failed, v.metric, v.x FROM measured AS m, LATERAL (VALUES {_VALUES}) AS v(metric, x)),
+good AS (
+  SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING max(quality) > 0
+),
+ladder AS (
+  SELECT lang, metric, cutoff, count(*) AS n, count(*) FILTER (x > cutoff) AS k
+  FROM long JOIN (VALUES {_LADDER}) AS c(metric, cutoff) USING (metric)
+  WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY ALL
+),
+certified AS (
+  SELECT lang, metric, min(cutoff) AS cutoff FROM ladder
+  WHERE k < n * {RISK} AND
+    (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}) + (n - j) * ln(1 - {RISK})))
+     FROM unnest(range(0, k + 1)) AS u(j))
+    <= {DELTA} / ((SELECT count(DISTINCT lang) FROM ladder) * {len(CANDIDATES)})
+  GROUP BY lang, metric
+),
+rejected AS (
+  SELECT DISTINCT doc_id FROM long JOIN certified AS c ON long.metric = c.metric AND long.lang IS NOT DISTINCT FROM c.lang WHERE x > cutoff
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM measured
+"""

@@ -110,6 +110,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL where SQL can express the operator.
 ORACLE: dict[str, str] = {
+    "op2_quality_rules": quality_rules.SQL,
     "op7_line_dedup": line_dedup.SQL.format(documents="documents"),
     "op8_mixture": mixture.SQL.format(documents="documents"),
+    "op9_decontamination": decontaminate.SQL,
 }

@@ -18,7 +18,7 @@ from billframe.operators.load import gold_items, tombstones
 from billframe.plans import rendered as R
 from billframe.session import configure
 from billframe.sources.rendered import rendered_orders
-from billframe.sources.tables import table
+from billframe.sources.tables import dealt, table
 
 M2 = "decimal(18,2)"
 
@@ -69,7 +69,7 @@ def nullish_fields(spark: SparkSession, sf: str) -> DataFrame:
 def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
     amount = (F.round(F.col("_price") * 100).cast("long").cast("decimal(20,0)") / 100).cast("decimal(28,8)")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("_price"))
+    o = dealt(table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("_price")), "o_orderkey")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", amount.alias("amount"), F.col("c_nationkey"))
     codes = F.element_at(F.array(*[F.lit(x) for x in ("GBP", "INR", "USD", "EUR", " inr ", "JPY")]), (F.col("c_nationkey") % 6 + 1).cast("int"))
@@ -328,7 +328,7 @@ def _attempts(spark, sf):
     """Captured model responses rendered from orders: attempt 1 lacks the tool
     call when k % 3 = 0; attempt 2 leaves company blank when k % 9 = 0;
     attempt 3 is valid but beyond the two allowed attempts."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    o = dealt(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), "o_orderkey")
     k = F.col("o_orderkey")
     a = o.select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("attempt"))
     full = k % 2 == 0

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.sources.tables import table
+from billframe.sources.tables import dealt, table
 
 MONTHS = "January February March April May June July August September October November December".split()
 
@@ -141,7 +141,7 @@ def rendered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: source_file, load_order (= o_orderkey), fields struct<13 strings>,
     extraction_confidence map, multiple_total_candidates, unmapped_metadata.
     """
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    o = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"), "o_orderkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     k = F.col("o_orderkey")

@@ -54,32 +54,45 @@ def required_blank(fields: Column) -> Column:
     return out
 
 
-def tool_input(response: Column) -> Column:
-    """The first tool call with the mapping tool's name, as JSON text (NULL if none)."""
-    parsed = F.from_json(response, RESPONSE_SCHEMA)
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (bound to a lambda variable)."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _tool_call(parsed: Column) -> Column:
     calls = F.filter(parsed["output"]["message"]["content"], lambda b: b["toolUse"]["name"] == F.lit(TOOL_NAME))
     return F.get(calls, 0)["toolUse"]["input"]
 
 
+def tool_input(response: Column) -> Column:
+    """The first tool call with the mapping tool's name, as JSON text (NULL if none)."""
+    return _let(F.from_json(response, RESPONSE_SCHEMA), _tool_call)
+
+
 def shape_payload(tool_json: Column) -> Column:
-    """struct(valid, fields, source_labels, unmapped_metadata, multiple_total_candidates, notes)."""
-    ti = F.from_json(tool_json, TOOL_INPUT_SCHEMA)
+    """struct(valid, fields, source_labels, unmapped_metadata, multiple_total_candidates, notes).
+
+    The tool's JSON is parsed once, however many fields are taken from it.
+    """
     dflt = defaults()
     names = list(canonical_names())
-    fields = F.struct(*[
-        F.coalesce(F.nullif(strip_ws(ti[n]), F.lit("")), F.lit(dflt.get(n, ""))).alias(n) for n in names
-    ])
-    labels = F.map_filter(F.coalesce(ti["source_labels"], F.create_map().cast("map<string,string>")),
-                          lambda k, v: k.isin(*names))
-    valid = tool_json.isNotNull() & ti.isNotNull() & ~required_blank(ti)
-    return F.struct(
-        valid.alias("valid"),
-        fields.alias("fields"),
-        labels.alias("source_labels"),
-        F.coalesce(ti["unmapped_metadata"], F.create_map().cast("map<string,string>")).alias("unmapped_metadata"),
-        F.coalesce(ti["multiple_total_candidates"], F.lit(False)).alias("multiple_total_candidates"),
-        F.coalesce(ti["notes"], F.lit("")).alias("notes"),
-    )
+
+    def shaped(ti):
+        fields = F.struct(*[
+            F.coalesce(F.nullif(strip_ws(ti[n]), F.lit("")), F.lit(dflt.get(n, ""))).alias(n) for n in names
+        ])
+        labels = F.map_filter(F.coalesce(ti["source_labels"], F.create_map().cast("map<string,string>")),
+                              lambda k, v: k.isin(*names))
+        return F.struct(
+            (ti.isNotNull() & ~required_blank(ti)).alias("valid"),
+            fields.alias("fields"),
+            labels.alias("source_labels"),
+            F.coalesce(ti["unmapped_metadata"], F.create_map().cast("map<string,string>")).alias("unmapped_metadata"),
+            F.coalesce(ti["multiple_total_candidates"], F.lit(False)).alias("multiple_total_candidates"),
+            F.coalesce(ti["notes"], F.lit("")).alias("notes"),
+        )
+
+    return _let(F.from_json(tool_json, TOOL_INPUT_SCHEMA), shaped)
 
 
 def select_attempt(attempts: DataFrame, settings: Settings = DEFAULT_SETTINGS, response_col: str = "response",
@@ -88,23 +101,26 @@ def select_attempt(attempts: DataFrame, settings: Settings = DEFAULT_SETTINGS, r
 
     Output per source_file: mapping_ok, attempts (ordinal of the winner),
     fields, source_labels, unmapped_metadata, multiple_total_candidates,
-    notes, model_id, input_tokens, output_tokens, source='bedrock'.
+    notes, model_id, input_tokens, output_tokens, source='bedrock'. The
+    response and the tool's JSON are each parsed once.
     """
     raw = F.col(response_col)
-    ti = raw if is_tool_input else tool_input(raw)
-    usage = F.from_json(raw, RESPONSE_SCHEMA)["usage"] if not is_tool_input else F.lit(None).cast(
-        "struct<inputTokens:bigint,outputTokens:bigint>")
     model = F.col("model_id") if "model_id" in attempts.columns else F.lit("")
-    shaped = attempts.where(F.col("attempt") <= settings.max_mapping_attempts).select(
-        "source_file", "attempt",
-        F.struct(
-            shape_payload(ti).alias("p"),
+
+    def attempt(tool_json, usage):
+        return F.struct(
+            shape_payload(tool_json).alias("p"),
             model.alias("model_id"),
             F.coalesce(usage["inputTokens"], F.lit(0)).alias("input_tokens"),
             F.coalesce(usage["outputTokens"], F.lit(0)).alias("output_tokens"),
             F.col("attempt").alias("attempts"),
-        ).alias("a"),
-    )
+        )
+
+    if is_tool_input:
+        a = attempt(raw, F.lit(None).cast("struct<inputTokens:bigint,outputTokens:bigint>"))
+    else:
+        a = _let(F.from_json(raw, RESPONSE_SCHEMA), lambda r: attempt(_tool_call(r), r["usage"]))
+    shaped = attempts.where(F.col("attempt") <= settings.max_mapping_attempts).select("source_file", "attempt", a.alias("a"))
     best = shaped.groupBy("source_file").agg(
         F.expr("min_by(a, attempt) FILTER (WHERE a.p.valid)").alias("w"),
     )

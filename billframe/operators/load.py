@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from billframe.config import DUPLICATE_SKIPPED, QUARANTINED, SCHEMA_VERSION
+from billframe.config import DUPLICATE_SKIPPED, MONEY_FIELDS, QUARANTINED, SCHEMA_VERSION
 from billframe.functions import fold_key, month_key
+from billframe.functions.money import MONEY_TYPE
 
 
 def with_keys(records: DataFrame) -> DataFrame:
@@ -144,3 +146,22 @@ def quarantine_sidecars(classified: DataFrame, mapped: DataFrame | None, batch_i
     else:
         side = side.withColumn("raw_mapped_payload", F.lit(None).cast("string"))
     return side
+
+
+def _money_columns(columns: list[str]) -> list[str]:
+    return [c for c in columns if c in MONEY_FIELDS or c.removeprefix("original_") in MONEY_FIELDS]
+
+
+def write_gold_jsonl(gold: DataFrame, path: str) -> None:
+    """Gold items as one JSON object a line; money as text, since JSON has no decimals."""
+    gold.withColumns({c: F.col(c).cast("string") for c in _money_columns(gold.columns)}).write.mode("overwrite").json(path)
+
+
+def read_gold_jsonl(spark, path: str, schema) -> DataFrame:
+    """Gold items from such files, money as decimals again; blank lines are no items.
+
+    ``schema``: that of the gold table.
+    """
+    money = set(_money_columns(schema.names))
+    raw = T.StructType([T.StructField(f.name, T.StringType()) if f.name in money else f for f in schema.fields])
+    return spark.read.schema(raw).json(path).withColumns({c: F.col(c).try_cast(MONEY_TYPE) for c in money})

@@ -306,3 +306,22 @@ def resolve_confidences(payloads: DataFrame, conf_maps: DataFrame) -> DataFrame:
     )
     return j.withColumn("extraction_confidence", F.map_filter(resolved, lambda k, v: v.isNotNull()).cast(
         "map<string,double>")).drop("summary_conf", "line_conf")
+
+
+def document_messages(headers: DataFrame, summary: DataFrame, items: DataFrame) -> DataFrame:
+    """source_file and message, the compact JSON of a document that a mapping model is given.
+
+    headers: source_file, api, page_count, warnings. Fields and rows are in document order.
+    """
+    pairs = summary.groupBy("source_file").agg(F.array_sort(F.collect_list(F.struct(
+        "pos", F.struct("type", "label", "value", F.round("confidence", 2).alias("confidence"), "page").alias("v")))).alias("ps"))
+    # maps have no order of their own: rows are sorted by their place alone
+    rows = items.groupBy("source_file").agg(F.array_sort(
+        F.collect_list(F.struct("row_order", "fields")),
+        lambda a, b: F.when(a["row_order"] < b["row_order"], -1).when(a["row_order"] > b["row_order"], 1).otherwise(0)).alias("rs"))
+    joined = headers.join(pairs, "source_file", "left").join(rows, "source_file", "left")
+    values = F.coalesce(F.transform("ps", lambda p: p["v"]), F.array())
+    lines = F.coalesce(F.transform("rs", lambda r: r["fields"]), F.array())
+    return joined.select("source_file", F.to_json(F.struct(
+        "source_file", F.col("api").alias("extracted_by"), "page_count", "warnings",
+        values.alias("label_value_pairs"), lines.alias("line_items"))).alias("message"))

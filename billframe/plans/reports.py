@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from billframe.operators.records import fx_audit as audited
 from billframe.plans import rendered as R
 from billframe.plans.catalog import M2, _attempts, _blocks, _expense, _okey
 from billframe.plans.oracle import _LINES, _TRUTH
+from billframe.plans.stages import stage_root
 from billframe.session import configure
 from billframe.sources.envelopes import rendered_expense
 from billframe.sources.manifest import gate_rule
@@ -183,11 +186,47 @@ def size_gate(spark: SparkSession, sf: str) -> DataFrame:
     return gate_rule(manifest).select("doc_id", "size_bytes", "hard_rule", "failed_at_stage")
 
 
+def document_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON given to the mapping model, by some of its members."""
+    p = _expense(spark, sf)
+    headers = X.expense_headers(p).withColumn("warnings", F.array().cast("array<string>"))
+    m = M.document_messages(headers, X.expense_summary_fields(p), X.expense_line_items(p))
+    get = lambda path: F.get_json_object("message", path)
+    return m.select(
+        _okey(), get("$.extracted_by").alias("extracted_by"), get("$.page_count").cast("int").alias("page_count"),
+        get("$.label_value_pairs[1].value").alias("total"), get("$.label_value_pairs[3]").isNull().alias("three_pairs"),
+        get("$.line_items[0].Amount").alias("first_amount"),
+    )
+
+
+def gold_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold written as JSON lines with money as text and read back, by status."""
+    gold, _ = R.gold_and_tombstones(spark, sf)
+    path = f"{stage_root(spark)}/gold-jsonl-{uuid.uuid4().hex[:12]}"
+    L.write_gold_jsonl(gold, path)
+    return L.read_gold_jsonl(spark, path, gold.schema).groupBy("status").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_amount").cast(M2).alias("total_gbp"))
+
+
+def assembled_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Results captured in two pages, out of order; jobs that failed or had not ended."""
+    configure(spark)
+    k = F.col("load_order")
+    status = F.when(k % 11 == 0, "FAILED").when(k % 13 == 0, "IN_PROGRESS").when(k % 3 == 0, "PARTIAL_SUCCESS").otherwise("SUCCEEDED")
+    pages = rendered_expense(spark, sf).select(
+        "source_file", F.explode(F.array(F.lit(2), F.lit(1))).alias("page_no"), status.alias("status"), "body")
+    whole = X.assemble_pages(pages, "ExpenseDocuments")
+    parsed = X.parse_envelopes(whole.select("source_file", "job_ok", "body"))
+    n = X.expense_summary_fields(parsed).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_fields"))
+    return parsed.join(n, "source_file", "left").select(_okey(), "job_ok", F.coalesce("n_fields", F.lit(0)).alias("n_fields"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         get_by_key, answer_sample, month_stats, flag_report, batch_outcomes, rule_counts, provenance, fx_audit,
         load_history, page_counts, label_value_view, malformed_envelopes, vendor_keys, alias_apply, size_gate,
+        document_messages, gold_jsonl, assembled_pages,
     )
 }
 
@@ -255,6 +294,15 @@ SELECT o_orderkey, 'Acme Trading ' || CAST(o_orderkey % 200 AS VARCHAR) AS compa
   'vendor_alias_cache' AS source
 FROM orders WHERE o_orderkey % 5 <> 0
   AND o_orderkey % 200 IN (SELECT o_orderkey % 200 FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 2 = 0)""",
+    "document_messages": _LINES + """
+SELECT o.k AS o_orderkey, 'AnalyzeExpense' AS extracted_by, 1 AS page_count, printf('%d.%02d', c // 100, c % 100) AS total, TRUE AS three_pairs,
+  printf('%d.%02d', l.ac // 100, l.ac % 100) AS first_amount
+FROM o LEFT JOIN l ON o.k = l.k AND l.row_index = 0""",
+    "gold_jsonl": _TRUTH + """
+SELECT final_status AS status, count(*) AS n, CAST(sum(total_gbp) AS DECIMAL(18, 2)) AS total_gbp FROM gold GROUP BY final_status""",
+    "assembled_pages": """
+SELECT o_orderkey, o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AS job_ok,
+  CAST(CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 THEN 6 ELSE 0 END AS BIGINT) AS n_fields FROM orders""",
     "size_gate": f"""
 WITH m AS (
   SELECT doc_id, CAST(CASE doc_id % 10 WHEN 0 THEN 0 WHEN 1 THEN {MAX_DOCUMENT_SIZE_BYTES + 1} WHEN 2 THEN {MAX_DOCUMENT_SIZE_BYTES}

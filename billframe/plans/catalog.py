@@ -14,7 +14,6 @@ from billframe.functions import date_is_ambiguous, fold_key, mandatory_text, man
 from billframe.operators import query as Q
 from billframe.operators import stats as T
 from billframe.operators.fx import attach_rates, fx_table, is_reversible, to_gbp
-from billframe.operators.load import gold_items, tombstones
 from billframe.plans import rendered as R
 from billframe.session import configure
 from billframe.sources.rendered import rendered_orders

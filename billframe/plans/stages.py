@@ -5,7 +5,8 @@ written as Parquet under the shared folder named by ``spark.checkpoint.dir``
 (cluster) or a scratch folder (local), then read back. This cuts lineage (a
 lost executor re-reads the stage instead of recomputing the whole parse) and
 keeps every downstream plan small. Within one session a stage is written once
-per (name, inputs) key.
+per (name, inputs) key; folders among the inputs count with their listing, so
+new files in a folder make a new stage.
 """
 
 from __future__ import annotations
@@ -26,6 +27,19 @@ def stage_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/billframe-stages/{app}"
 
 
+def _listing(spark: SparkSession, key: tuple) -> tuple:
+    """Names, sizes and times of what lies in the folders of a key (one level)."""
+    out = []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for part in key:
+        if isinstance(part, str) and "/" in part and len(part) < 1000:
+            p = jvm.org.apache.hadoop.fs.Path(part)
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                out += sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))
+    return tuple(out)
+
+
 def materialize(df, name: str, key: tuple = (), partition_by: list[str] | None = None,
                 spark: SparkSession | None = None) -> DataFrame:
     """Write a stage once per (name, key) for this session and return the re-read table.
@@ -34,7 +48,7 @@ def materialize(df, name: str, key: tuple = (), partition_by: list[str] | None =
     plan is only built when the stage is not yet written).
     """
     spark = spark or (df.sparkSession if isinstance(df, DataFrame) else SparkSession.getActiveSession())
-    memo_key = (spark.sparkContext.applicationId, name, key)
+    memo_key = (spark.sparkContext.applicationId, name, key, _listing(spark, key))
     path = _MEMO.get(memo_key)
     if path is None:
         if not isinstance(df, DataFrame):

@@ -27,7 +27,10 @@ def _norm(rows, cols):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-@pytest.mark.parametrize("name", ["dq_status", "hard_rules", "key_fold", "coerce_money", "size_gate"])
+@pytest.mark.parametrize("name", [
+    "dq_status", "hard_rules", "key_fold", "coerce_money", "size_gate", "get_by_key", "answer_sample", "month_stats",
+    "rule_counts", "fx_audit", "load_history", "malformed_envelopes",
+])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:

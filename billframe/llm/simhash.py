@@ -76,7 +76,6 @@ def fingerprint(raw: bytes, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and fp (the 64 bits as a signed long) of every row."""
-
     return map_texts(narrow(docs, id_col, text_col), _marker(shingle), _FP)
 
 
@@ -243,4 +242,4 @@ def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFram
     )
     stay = keyed.join(keep, ["__id", "__text"], "left_semi")
     once = F.row_number().over(Window.partitionBy("__id", "__text").orderBy(F.lit(1)))
-    return stay.withColumn("__n", once).where("__n = 1").select(*docs.columns)
+    return stay.withColumn("__nth_copy", once).where("__nth_copy = 1").select(*docs.columns)

@@ -189,9 +189,13 @@ def _links(variants: DataFrame) -> DataFrame:
         .where("n > 1 AND (place >= 0 OR (cuts IS NOT NULL AND wholes IS NOT NULL))")
         .drop("n")
     )
+    # most variants meet no other line: only those that may are shuffled again
+    met = write_stage(met, "line-keys")
+    hashed = F.xxhash64(*keys)
     partner = F.when((F.col("place") >= 0) | F.col("whole"), F.col("cuts")).otherwise(F.col("wholes"))
     return (
-        variants.join(met, keys)
+        _passing(variants, hashed, _bits(met, hashed))
+        .join(met, keys)
         .select("o", "place", "cut", partner.alias("to"))
         .where("to.o < o")
         .select(

@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,75 +52,105 @@ LOG10 = math.log(10)
 
 
 class Lattice:
-    """Pieces with log probabilities, and the sums over a word's segmentations."""
+    """Pieces with log probabilities, and the sums over a word's segmentations.
+
+    ``table`` maps every piece to its log probability, and every other prefix
+    of a piece to None, so that the arcs from a position are found by
+    lengthening a substring for as long as it is in the table.
+    """
 
     def __init__(self, pieces: list[str], log_probs: np.ndarray):
-        self.lp = dict(zip(pieces, log_probs.tolist(), strict=True))
         self.ids = {p: i for i, p in enumerate(pieces)}
-        self.longest = max(map(len, pieces))
+        self.lp = dict(zip(pieces, log_probs.tolist(), strict=True))
+        self.table: dict[str, float | None] = {p[:k]: None for p in pieces if p[0] != "<" for k in range(1, len(p))}
+        self.table |= self.lp
+        self.arc = {p: None if x is None else (math.exp(x), self.ids[p]) for p, x in self.table.items()}
+        self.spelled = [self.lp[f"<0x{b:02X}>"] for b in range(256)]
 
-    def edges(self, word: str) -> tuple[int, list[list[tuple[int, float, tuple]]]]:
-        """Length, and for each end position (start, log probability, pieces) of every arc."""
-        text = MARK + word
-        get, longest = self.lp.get, self.longest
-        arcs: list[list[tuple[int, float, tuple]]] = [[]]
-        for j in range(1, len(text) + 1):
-            at = []
-            for i in range(max(0, j - longest), j):
-                p = get(text[i:j])
-                if p is not None:
-                    at.append((i, p, text[i:j]))
-            if text[j - 1] not in self.lp:
-                spelled = tuple(f"<0x{b:02X}>" for b in text[j - 1].encode("utf-8"))
-                at.append((j - 1, sum(self.lp[b] for b in spelled), spelled))
-            arcs.append(at)
-        return len(text), arcs
+    def by_bytes(self, ch: str) -> float:
+        """Log probability of a character spelled in bytes, for those that are no piece."""
+        return sum(self.spelled[b] for b in ch.encode("utf-8"))
 
     def log_marginal(self, word: str) -> float:
         """Natural log of the summed probability of all segmentations, by log-space forward recursion."""
         text = MARK + word
-        get, longest, exp, log = self.lp.get, self.longest, math.exp, math.log
-        alpha = [0.0]
-        for j in range(1, len(text) + 1):
-            terms = []
-            for i in range(max(0, j - longest), j):
-                p = get(text[i:j])
-                if p is not None:
-                    terms.append(alpha[i] + p)
-            if text[j - 1] not in self.lp:
-                terms.append(alpha[j - 1] + sum(self.lp[f"<0x{b:02X}>"] for b in text[j - 1].encode("utf-8")))
-            if len(terms) == 1:
-                alpha.append(terms[0])
+        n = len(text)
+        find, exp, log = self.table.get, math.exp, math.log
+        terms: list[list[float]] = [[] for _ in range(n + 1)]
+        terms[0].append(0.0)
+        for i in range(n):
+            at = terms[i]
+            if len(at) == 1:
+                alpha = at[0]
             else:
-                top = max(terms)
-                alpha.append(top + log(sum([exp(t - top) for t in terms])))
-        return alpha[-1]
-
-    def expect(self, word: str, weight: float, counts: np.ndarray) -> None:
-        """Add the expected uses of every piece in ``weight`` occurrences of a word."""
-        n, arcs = self.edges(word)
-        exp, log = math.exp, math.log
+                top = max(at)
+                alpha = top + log(sum([exp(t - top) for t in at]))
+            j = i + 1
+            p = find(text[i], False)
+            if not p:  # no piece of one character: spell it
+                terms[j].append(alpha + self.by_bytes(text[i]))
+            while p is not False:
+                if p is not None:
+                    terms[j].append(alpha + p)
+                j += 1
+                if j > n:
+                    break
+                p = find(text[i:j], False)
+        at = terms[n]
+        top = max(at)
+        return top + log(sum([exp(t - top) for t in at]))
+
+    def expect(self, word: str, weight: float, counts: list[float]) -> None:
+        """Add the expected uses of every piece in ``weight`` occurrences of a word.
+
+        Forward in plain probabilities, each position's sum divided by the one
+        before it, which keeps long words in range; then the mass flows back.
+        """
+        text = MARK + word
+        n = len(text)
+        find = self.arc.get
         alpha = [0.0] * (n + 1)
-        for j in range(1, n + 1):
-            terms = [alpha[i] + p for i, p, _ in arcs[j]]
-            top = max(terms)
-            alpha[j] = top + log(sum([exp(t - top) for t in terms])) if len(terms) > 1 else top
-        # posterior mass flows back from the end
+        alpha[0] = 1.0
+        arcs = []
+        low = 0  # alpha from here on is scaled up whenever it gets small
+        for i in range(n):
+            a = alpha[i]
+            if a < 1e-200:
+                top = max(alpha[low + 1 :], default=0.0) or 1.0
+                for k in range(n + 1):
+                    alpha[k] /= top if k >= i else 1.0
+                arcs.append((i, i, top, -1))
+                a, low = alpha[i], i
+            j = i + 1
+            got = find(text[i], False)
+            if not got:  # no piece of one character: spell it
+                p = math.exp(self.by_bytes(text[i]))
+                alpha[j] += a * p
+                arcs.append((i, j, p, -2))
+            while got is not False:
+                if got is not None:
+                    alpha[j] += a * got[0]
+                    arcs.append((i, j, got[0], got[1]))
+                j += 1
+                if j > n:
+                    break
+                got = find(text[i:j], False)
         mass = [0.0] * (n + 1)
         mass[n] = weight
-        ids = self.ids
-        for j in range(n, 0, -1):
-            m, z = mass[j], alpha[j]
-            if m < 1e-12:
+        for i, j, p, piece in reversed(arcs):
+            if piece == -1:
+                for k in range(i, n + 1):
+                    alpha[k] *= p
                 continue
-            for i, p, piece in arcs[j]:
-                part = m * exp(alpha[i] + p - z)
+            m = mass[j]
+            if m and alpha[j]:
+                part = m * alpha[i] * p / alpha[j]
                 mass[i] += part
-                if piece.__class__ is str:
-                    counts[ids[piece]] += part
+                if piece >= 0:
+                    counts[piece] += part
                 else:
-                    for b in piece:
-                        counts[ids[b]] += part
+                    for b in text[i].encode("utf-8"):
+                        counts[self.ids[f"<0x{b:02X}>"]] += part
 
 
 def vocabulary(model_file: str) -> tuple[list[str], np.ndarray]:
@@ -178,10 +208,11 @@ def _expected(words: DataFrame, held, n_pieces: int) -> np.ndarray:
 
     def run(batches):
         lattice = Lattice(*held.value)
-        counts = np.zeros(n_pieces)
+        counts = [0.0] * n_pieces
         for b in batches:
             for w, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True):
                 lattice.expect(w, n, counts)
+        counts = np.array(counts)
         used = np.flatnonzero(counts)
         if len(used):
             yield pa.RecordBatch.from_arrays(

@@ -13,6 +13,15 @@ strictest cutoff that passes. So with probability 1 - delta every certified
 cutoff of every stratum keeps its promise. A stratum without enough good labels
 certifies none and rejects nothing.
 
+That promise is each cutoff's own: a text is rejected if any rule rejects it, so
+the verdict's false rejection rate is bounded by the number of metrics times
+``risk``. With ``joint`` the verdict itself is certified: the sets of cutoffs
+form one fixed, nested sequence (``SEQUENCE``: no rule, then one rung of one
+metric more at each step, in turn, from lax to strict), k is the number of good
+texts that any rule of the set rejects, and delta is shared out over strata
+only. So with probability 1 - delta the verdict of every stratum rejects at
+most ``risk`` of its good texts.
+
 The bound needs no inverse: the upper bound is at most ``risk`` exactly if the
 binomial tail P(X <= k | n, risk) is at most the level; the tail is summed in
 log space, so no count of labels is too large.
@@ -47,6 +56,13 @@ CANDIDATES: dict[str, tuple[float, ...]] = {
 }
 RISK, DELTA = 0.02, 0.05
 MIN_WORDS = 50
+#: The (metric, cutoff) that each step of the joint test adds to the set, from lax to strict.
+SEQUENCE: list[tuple[str, float]] = [
+    (m, sorted(cuts, reverse=True)[i])
+    for i in range(max(map(len, CANDIDATES.values())))
+    for m, cuts in CANDIDATES.items()
+    if i < len(cuts)
+]
 
 
 def counts(docs: DataFrame, stratum: str | None = None) -> DataFrame:
@@ -213,7 +229,44 @@ def thresholds(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) ->
     return tested.groupBy("stratum", "metric").agg(F.min("cutoff").alias("cutoff"), F.max("n_good").alias("n_good"))
 
 
-def judged(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+def joint_thresholds(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """stratum and a column of each metric: the cutoffs of the strictest set whose joint rejection is certified.
+
+    Sets are nested, so a text is rejected from some step on: one aggregation
+    counts the good texts by that step.
+    """
+    first = F.least(*(F.when(F.col(m) > c, F.lit(i)) for i, (m, c) in enumerate(SEQUENCE)))
+    table = write_stage(
+        labelled.where("good")
+        .select("stratum", first.alias("first"))
+        .groupBy("stratum")
+        .agg(
+            F.count(F.lit(1)).alias("n_good"),
+            *(F.count(F.when(F.col("first") <= i, 1)).alias(f"k:{i}") for i in range(len(SEQUENCE))),
+        ),
+        "joint-ladder",
+    )
+    steps = F.explode(
+        F.array(*(F.struct(F.lit(i).alias("step"), F.col(f"`k:{i}`").alias("k")) for i in range(len(SEQUENCE))))
+    )
+    last = (
+        table.select("stratum", "n_good", steps.alias("s"))
+        .where(tail(F.col("s.k"), F.col("n_good"), risk) <= F.lit(delta / max(1, table.count())))
+        .groupBy("stratum")
+        .agg(F.max("s.step").alias("last"))
+    )
+    return last.select(
+        "stratum",
+        *(
+            F.least(*(F.when(F.col("last") >= i, F.lit(float(c))) for i, (of, c) in enumerate(SEQUENCE) if of == m)).alias(m)
+            for m in CANDIDATES
+        ),
+    )
+
+
+def judged(
+    measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, joint: bool = False
+) -> DataFrame:
     """The rows of ``counts`` with base_failed and kept. ``measured`` should be a written table."""
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -222,7 +275,10 @@ def judged(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
     )
     rated = measured.where(~base_failed()).withColumns(metrics())
     labelled = rated.join(known, "doc_id").select("stratum", (F.col("quality") > 0).alias("good"), *CANDIDATES)
-    cutoffs = thresholds(labelled, risk, delta).groupBy("stratum").pivot("metric", list(CANDIDATES)).agg(F.first("cutoff"))
+    if joint:
+        cutoffs = joint_thresholds(labelled, risk, delta)
+    else:
+        cutoffs = thresholds(labelled, risk, delta).groupBy("stratum").pivot("metric", list(CANDIDATES)).agg(F.first("cutoff"))
     cutoffs = cutoffs.select(F.col("stratum").alias("of"), *(F.col(m).alias(f"max_{m}") for m in CANDIDATES))
     rows = measured.withColumns(metrics())
     passed = reduce(
@@ -236,9 +292,9 @@ def judged(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
     )
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang") -> DataFrame:
-    """Counts and verdict of every row."""
-    return judged(write_stage(counts(docs, stratum), "rule-counts"), labels)
+def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", joint: bool = False) -> DataFrame:
+    """Counts and verdict of every row; ``joint``: the risk holds for the verdict, not for each cutoff."""
+    return judged(write_stage(counts(docs, stratum), "rule-counts"), labels, joint=joint)
 
 
 _LADDER = ", ".join(f"('{m}', {float(c)!r})" for m, cs in CANDIDATES.items() for c in cs)

@@ -40,6 +40,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *columns)
 
 
+def op2_quality_rules_joint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the risk certified for the verdict instead of each cutoff."""
+    found = quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), joint=True)
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select("doc_id", *columns)
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-level base score and subword-lattice log10 probability of every document."""
     docs = table(tune(spark), sf_dir, "documents")
@@ -98,6 +105,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op2_quality_rules_joint": op2_quality_rules_joint,
     "op3_lm_score": op3_lm_score,
     "op4_quality": op4_quality,
     "op5_token_counts": op5_token_counts,

@@ -119,6 +119,25 @@ def test_thresholds_are_the_strictest_that_the_exact_bound_certifies(spark):
     assert got == expected and expected
 
 
+def test_joint_verdict_keeps_the_risk_where_single_cutoffs_do_not(spark):
+    names = list(quality_rules.CANDIDATES)
+    n, risk, delta = 4000, 0.02, 0.05
+    # every metric exceeds all its cutoffs in 1 % of the good texts, each in others
+    data = [("en", True, *(100.0 if i % 100 == j else 0.0 for j in range(len(names)))) for i in range(n)]
+    schema = "stratum string, good boolean, " + ", ".join(f"{m} double" for m in names)
+    frame = spark.createDataFrame(data, schema)
+    alone = {r.metric: r.cutoff for r in quality_rules.thresholds(frame, risk, delta).collect()}
+    over = sum(any(x > alone.get(m, 1e9) for m, x in zip(names, r[2:], strict=True)) for r in data)
+    assert over > risk * n  # all seven cutoffs are certified, their union rejects 7 %
+    got = quality_rules.joint_thresholds(frame, risk, delta).collect()
+    assert len(got) == 1 and got[0].stratum == "en"
+    rejected = lambda cuts: sum(any(c is not None and x > c for c, x in zip(cuts, r[2:], strict=True)) for r in data)
+    assert rejected([got[0][m] for m in names]) == 40  # one metric in a hundred texts; a second would be 2 %
+    strict = [min((c for of, c in quality_rules.SEQUENCE[:2] if of == m), default=None) for m in names]
+    k = rejected(strict)
+    assert sum(math.comb(n, i) * risk**i * (1 - risk) ** (n - i) for i in range(k + 1)) > delta
+
+
 # --- 3 language model -------------------------------------------------------
 
 

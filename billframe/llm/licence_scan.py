@@ -14,11 +14,18 @@ containment of 0.8 the least J of any grade is above 0.19, so at 96 bands the
 chance of a miss is below 2e-9. A band of one hash is selective enough here,
 since a window and a template that share no shingle never meet.
 
+A template so small that it must be contained whole (at 0.8 up to four
+shingles) needs no bands: the shingles of these are looked up one by one.
+
 Verification is exact, on words: the window, widened by L shingles on either
 side, must hold at least 0.8 of the template's distinct shingles. A match is
 reported with its span of words, from the first to the last shingle of the
-template that the widened window holds; overlapping matches of a template are
-one.
+template that the widened window holds; overlapping matches of a licence are
+one, however many of its templates match. A family's name (GPL) gives way to a
+member (GPL-3.0) that overlaps it.
+
+A licence whose text holds most of another's is reported beside it (BSD-2-Clause
+in BSD-3-Clause, GPL-3.0 in texts derived from it); containment tells them apart.
 
 Scale: texts are scanned where they lie, without a shuffle; templates are
 configuration, read from a table whose size is checked.
@@ -38,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billframe.llm.common import kept_in_worker, map_texts, narrow
+from billframe.llm.licence_templates import templates as public_templates
 
 SHINGLE, CONTAINMENT = 5, 0.8
 BANDS, LEAST_GRADE = 96, 2
@@ -45,9 +53,13 @@ BANDS, LEAST_GRADE = 96, 2
 TEMPLATE_CHARS = 4_000_000
 #: Bits of the table that tells whether a MinHash value occurs in any template.
 TABLE_BITS = 18
+_TABLE = np.uint64((1 << TABLE_BITS) - 1)
+#: Blocks up to this size are padded and halved; beyond, those of each text are paired by themselves.
+PADDED = 32
 
-# Short notices that public licences ask for or that announce them.
+# Whole texts and announcements, and short notices that public licences ask for.
 TEMPLATES = [
+    *public_templates(),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     (
         "Apache-2.0",
@@ -141,62 +153,103 @@ def grade(n_shingles: int) -> int:
 
 
 class Scanner:
-    """Band tables of all templates, by grade."""
+    """Shingles of the small templates and band tables, by grade, of the others."""
 
     def __init__(self, templates: list[tuple[str, bytes]], containment: float):
         self.containment = containment
         self.templates: list[tuple[str, set]] = []
         self.grades: dict[int, tuple[np.ndarray, list[dict[int, list[int]]]]] = {}
+        self.least: dict[int, int] = {}  # shingles of the smallest template of a grade
+        self.small: dict[int, list[tuple[int, int]]] = {}
+        self.small_bits = np.zeros(1 << TABLE_BITS, dtype=bool)
         for name, raw in templates:
             ws, h = word_hashes(raw)
             sh = shingle_hashes(h)
             if not len(sh):
                 continue
-            t = len(self.templates)
-            self.templates.append((name, {tuple(ws[i : i + SHINGLE]) for i in range(len(sh))}))
+            t, size = len(self.templates), grade(len(sh))
+            own = {tuple(ws[i : i + SHINGLE]) for i in range(len(sh))}
+            self.templates.append((name, own))
+            if (len(own) - 1) / len(own) < containment:
+                for v in set(sh.tolist()):
+                    self.small.setdefault(v, []).append((size, t))
+                self.small_bits[(sh & _TABLE).view(np.int64)] = True
+                continue
+            self.least[size] = min(self.least.get(size, len(own)), len(own))
             bits, tables = self.grades.setdefault(
-                grade(len(sh)), (np.zeros(1 << TABLE_BITS, dtype=bool), [{} for _ in range(BANDS)])
+                size, (np.zeros(1 << TABLE_BITS, dtype=bool), [{} for _ in range(BANDS)])
             )
             for band, c in enumerate(_HASHES):
-                v = int((sh * c).min())
-                tables[band].setdefault(v, []).append(t)
-                bits[v >> (64 - TABLE_BITS)] = True
+                v = (sh * c).min()
+                tables[band].setdefault(int(v), []).append(t)
+                bits[int(v & _TABLE)] = True
 
     def candidates(self, shingles: list[np.ndarray]) -> list[set[tuple[int, int, int]]]:
-        """For each text the (size, window, template) that share a band; window w of a grade
-        covers the shingles from w * size on. Texts lie one after the other, each padded to
-        whole blocks of every grade; a window over a border belongs to the text it begins in."""
+        """For each text the (size, window, template) that share a band or, of small templates, a
+        shingle; window w of a grade covers the shingles from w * size on. Texts lie one after the
+        other, each in whole blocks; a window over a border belongs to the text it begins in."""
         found: list[set[tuple[int, int, int]]] = [set() for _ in shingles]
-        if not self.grades or not shingles:
+        if not shingles:
+            return found
+        n = np.array([len(sh) for sh in shingles])
+        flat = np.concatenate(shingles)
+        ends = np.cumsum(n)
+        for at in np.flatnonzero(self.small_bits[(flat & _TABLE).view(np.int64)]).tolist():
+            for size, t in self.small.get(int(flat[at]), ()):
+                doc = int(np.searchsorted(ends, at, side="right"))
+                found[doc].add((size, (at - int(ends[doc] - n[doc])) // size, t))
+        if not self.grades:
             return found
         widest = max(self.grades)
-        blocks = np.array([-(-len(sh) // widest) for sh in shingles])
-        ends = np.cumsum(blocks) * widest
-        flat = np.zeros(int(ends[-1]), dtype=np.uint64)
-        padding = np.ones(len(flat), dtype=bool)
-        for sh, end, n in zip(shingles, ends, blocks, strict=True):
-            at = int(end - n * widest)
-            flat[at : at + len(sh)] = sh
+        base = min(PADDED, widest)
+        blocks = -(-n // base)
+        starts = (np.cumsum(blocks) - blocks) * base
+        data = np.zeros(int(blocks.sum()) * base, dtype=np.uint64)
+        padding = np.ones(len(data), dtype=bool)
+        for sh, at in zip(shingles, starts.tolist(), strict=True):
+            data[at : at + len(sh)] = sh
             padding[at : at + len(sh)] = False
         pad = np.flatnonzero(padding)
-        shift = np.uint64(64 - TABLE_BITS)
+        levels = self._levels(n, base, blocks, starts)
         for band, c in enumerate(_HASHES):
-            values = flat * c
+            values = data * c
             values[pad] = _NONE
-            size = 1
-            while size < widest:
-                values = np.minimum(values[::2], values[1::2])
-                size *= 2
-                if size not in self.grades:
+            for size, pairs, looked in levels:
+                values = np.minimum(values[::2], values[1::2]) if pairs is None else np.minimum.reduceat(values, pairs)
+                if looked is None:
                     continue
+                owner, first, long_enough = looked
                 bits, tables = self.grades[size]
                 least = np.minimum(values, np.append(values[1:], _NONE))
-                for w in np.flatnonzero(bits[(least >> shift).view(np.int64)]).tolist():
+                for w in np.flatnonzero(bits[(least & _TABLE).view(np.int64)] & long_enough).tolist():
                     for t in tables[band].get(int(least[w]), ()):
-                        doc = int(np.searchsorted(ends, w * size, side="right"))
-                        found[doc].add((size, w - int(ends[doc] - blocks[doc] * widest) // size, t))
+                        found[owner[w]].add((size, w - int(first[owner[w]]), t))
         return found
 
+    def _levels(self, n: np.ndarray, base: int, blocks: np.ndarray, starts: np.ndarray) -> list[tuple]:
+        """(size, first blocks of the pairs to unite, how to look blocks up) of every level up to the widest
+        that any of the texts, of ``n`` shingles, is long enough for."""
+        levels = []
+        wanted = {size: n >= self.containment * self.least[size] for size in self.grades}
+        last = max((size for size, ok in wanted.items() if ok.any()), default=1)
+        size, held, first = 1, blocks * base, starts
+        while size < last:
+            pairs = None
+            if size < base:
+                held, first = held // 2, first // 2
+            else:
+                own = np.arange(held.sum()) - np.repeat(first, held)
+                pairs = np.flatnonzero(own % 2 == 0)
+                held = -(-held // 2)
+                first = np.cumsum(held) - held
+            size *= 2
+            looked = None
+            if size in wanted:
+                owner = np.repeat(np.arange(len(n)), held)
+                looked = owner, first, wanted[size][owner]
+            levels.append((size, pairs, looked))
+        return levels
+
     def scan(self, texts: list[bytes]) -> list[list[dict]]:
         """Verified matches of each text."""
         out = []
@@ -208,7 +261,7 @@ class Scanner:
 
     def verified(self, ws: list[bytes], candidates: set[tuple[int, int, int]]) -> list[dict]:
         """The candidates of one text whose widened window contains the template."""
-        out: dict[tuple[str, int], list] = {}
+        spans: dict[str, list] = {}
         n = len(ws) - SHINGLE + 1
         for size, w, t in sorted(candidates):
             name, wanted = self.templates[t]
@@ -216,20 +269,27 @@ class Scanner:
             held = [i for i in range(a, b) if tuple(ws[i : i + SHINGLE]) in wanted]
             part = len({tuple(ws[i : i + SHINGLE]) for i in held}) / len(wanted)
             if part >= self.containment:
-                span = [part, held[0], held[-1] + SHINGLE - 1]
-                runs = out.setdefault((name, t), [])
-                if runs and span[1] <= runs[-1][2]:
-                    runs[-1] = [max(part, runs[-1][0]), min(span[1], runs[-1][1]), max(span[2], runs[-1][2])]
+                spans.setdefault(name, []).append((held[0], held[-1] + SHINGLE - 1, part))
+        out = []
+        for name, found in spans.items():
+            runs: list[list] = []
+            for first, last, part in sorted(found):
+                if runs and first <= runs[-1][1]:
+                    runs[-1] = [runs[-1][0], max(last, runs[-1][1]), max(part, runs[-1][2])]
                 else:
-                    runs.append(span)
-        return sorted(
-            (
-                {"license": name, "containment": p, "first_word": a, "last_word": b}
-                for (name, _), runs in out.items()
-                for p, a, b in runs
-            ),
-            key=lambda m: (m["first_word"], m["license"], m["last_word"]),
-        )
+                    runs.append([first, last, part])
+            out += [{"license": name, "containment": p, "first_word": a, "last_word": b} for a, b, p in runs]
+        out = [
+            m
+            for m in out
+            if not any(
+                x["license"].startswith(m["license"] + "-")
+                and x["first_word"] <= m["last_word"]
+                and m["first_word"] <= x["last_word"]
+                for x in out
+            )
+        ]
+        return sorted(out, key=lambda m: (m["first_word"], m["license"], m["last_word"]))
 
 
 def template_table(spark: SparkSession) -> DataFrame:

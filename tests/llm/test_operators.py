@@ -77,6 +77,31 @@ def test_license_templates_are_checked(spark, docs):
         licence_scan.license_matches(docs, spark.createDataFrame([("a", "x" * 4_000_001)], "license string, text string"))
 
 
+def test_common_licences_and_wordings_are_found():
+    found = licence_scan.Scanner([(k, t.encode()) for k, t in licence_scan.TEMPLATES], licence_scan.CONTAINMENT)
+    names = lambda text: {m["license"] for m in found.scan([text.encode()])[0]}
+    for text, wanted in (
+        ("Licensed under the MIT License", "MIT"),
+        ("This project is licensed under the MIT license.", "MIT"),
+        ("Licensed under CC BY 4.0", "CC-BY-4.0"),
+        ("Photos: CC BY-NC 3.0", "CC-BY-NC-3.0"),
+        ("This work is under a Creative Commons Attribution-ShareAlike 3.0 Unported licence", "CC-BY-SA-3.0"),
+        ("free software under the GNU Lesser General Public License v2.1", "LGPL-2.1"),
+        ("released under the terms of the GNU GPL version 2", "GPL-2.0"),
+        ("SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0"),
+        ("distributed under the GNU General Public License.", "GPL"),
+    ):
+        assert names(text) == {wanted}, text
+    whole = dict(reversed(licence_scan.TEMPLATES))  # the first of each name
+    for name in ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "MPL-2.0"):
+        texts = ["", "y", "before " * 500 + whole[name] + " behind" * 9000, "x y " * 3000] * 20
+        assert [name in {m["license"] for m in found} for found in found.scan([x.encode() for x in texts])] == [False, False, True, False] * 20
+    mit = next(t for k, t in licence_scan.TEMPLATES if k == "MIT")
+    assert names(mit[mit.index("The above copyright") :]) == {"MIT"}
+    bsd = next(t for k, t in licence_scan.TEMPLATES if k == "BSD-2-Clause")
+    assert names(bsd[bsd.index("THIS SOFTWARE IS") :]) == {"BSD"}
+
+
 # --- 2 quality rules --------------------------------------------------------
 
 

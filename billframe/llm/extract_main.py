@@ -10,11 +10,14 @@ Every line's ratio is its characters outside links over its tags. The ratios
 are smoothed by a Gaussian along the page and clustered in two by a threshold
 (iterated class means); lines that reach it, smoothed or by themselves, and are
 not mostly links, are the core. The
-content region is the container that holds most of the core - an article or
-main element if there is one. Lines of the region stay if they lie between
+content region is the container that holds most of the core - if there are
+article or main elements, all outermost ones that hold some of it. Lines of the region stay if they lie between
 core lines, or in a part of it that holds some, so short paragraphs are kept;
 what is mostly links at its ends is not.
 
+Formulas are read like inline text, without their annotations; a math element
+counts as one tag, whatever is in it.
+
 White space inside a block becomes one space, blocks are joined by one newline
 in page order, character references are decoded.
 
@@ -45,7 +48,8 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset("article aside body center details div fieldset main section td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNREAD = frozenset(
-    "script style noscript template svg math head title iframe object audio video canvas select textarea button datalist map".split()
+    "script style noscript template svg annotation annotation-xml head title iframe object audio video canvas select "
+    "textarea button datalist map".split()
 )
 BOILERPLATE = frozenset("nav header footer aside form menu dialog search fieldset".split())
 ROLES = frozenset(
@@ -105,7 +109,7 @@ class Lines(HTMLParser):
         self.stack: list[tuple[str, bool, str]] = []  # tag, unread, boilerplate
         self.marks: list[int] = []  # open elements marked by name
         self.chain: list[tuple[int, str]] = []  # open containers: number, tag
-        self.unread = self.plain = self.links = self.seen = 0
+        self.unread = self.plain = self.links = self.seen = self.math = 0
         self.parts: list[str] = []
         self.tags = self.linked = 0
 
@@ -124,7 +128,7 @@ class Lines(HTMLParser):
             self.flush()
         elif tag == "br":
             self.parts.append(" ")
-        self.tags += 1
+        self.tags += not self.math
         if tag in VOID:
             return
         unread, plain = tag in UNREAD, boilerplate(tag, attrs)
@@ -132,6 +136,7 @@ class Lines(HTMLParser):
         self.unread += unread
         self.plain += plain == "sure"
         self.links += tag == "a"
+        self.math += tag == "math"
         self.seen += 1
         if plain == "name":
             self.marks.append(self.seen)
@@ -155,7 +160,7 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
-        self.tags += 1
+        self.tags += not self.math
         if not any(name == tag for name, _, _ in reversed(self.stack)):
             return
         while True:
@@ -167,6 +172,7 @@ class Lines(HTMLParser):
             if plain == "name":
                 self.marks.pop()
             self.links -= name == "a"
+            self.math -= name == "math"
             if name in CONTAINERS:
                 self.chain.pop()
             if name == tag:
@@ -232,8 +238,8 @@ def main_text(html: str, sigma: float = 1.0, most_links: float = 0.5, share: flo
     if not core.any():
         return ""
     chains = [chain for _, _, _, chain in lines]
-    region, named = _region(chains, core, free, share)
-    inside = np.array([region is None or any(n == region for n, _ in c) for c in chains])
+    regions, named = _regions(chains, core, free, share)
+    inside = np.array([None in regions or any(n in regions for n, _ in c) for c in chains])
     at = np.flatnonzero((prose if named else core) & inside)
     if not len(at):
         return ""
@@ -244,42 +250,38 @@ def main_text(html: str, sigma: float = 1.0, most_links: float = 0.5, share: flo
             continue
         own = chain[-1][0] if chain else None
         between = at[0] <= i <= at[-1]
-        if between or prose[i] and (named or own == region or own in with_core):
+        if between or prose[i] and (named or own in regions or own in with_core):
             kept.append(text)
     return "\n".join(kept)
 
 
-def _region(chains: list[tuple], core: np.ndarray, free: np.ndarray, share: float) -> tuple[int | None, bool]:
-    """The container that holds the core, and whether it is an article or main element.
+def _regions(chains: list[tuple], core: np.ndarray, free: np.ndarray, share: float) -> tuple[set[int | None], bool]:
+    """The containers that hold the core, and whether they are article or main elements.
 
-    From the page inwards, as long as one container holds ``share`` of the
-    core's characters; the first article or main element on the way is it.
+    All outermost article and main elements with core lines are regions: an
+    article may be split over several. Without any, it is the last container
+    from the page inwards that holds ``share`` of the core's characters; None
+    is the page.
     """
+    named = {
+        next(n for n, tag in chains[i] if tag in ("article", "main"))
+        for i in np.flatnonzero(core)
+        if any(tag in ("article", "main") for _, tag in chains[i])
+    }
+    if named:
+        return named, True
     whole = float(free[core].sum()) or 1.0
     region, depth = None, 0
     while True:
-        held: dict[tuple[int, str], float] = {}
+        held: dict[int, float] = {}
         for i in np.flatnonzero(core):
             if len(chains[i]) > depth and (region is None or depth and chains[i][depth - 1][0] == region):
-                held[chains[i][depth]] = held.get(chains[i][depth], 0.0) + float(free[i])
+                n = chains[i][depth][0]
+                held[n] = held.get(n, 0.0) + float(free[i])
         best = max(held, key=held.get, default=None)
         if best is None or held[best] < share * whole:
-            named = _largest_article(chains, core, free)
-            return (named, True) if named is not None else (region, False)
-        region, depth = best[0], depth + 1
-        if best[1] in ("article", "main"):
-            return region, True
-
-
-def _largest_article(chains: list[tuple], core: np.ndarray, free: np.ndarray) -> int | None:
-    """The outermost article or main element with most core characters, if it has any."""
-    held: dict[int, float] = {}
-    for i in np.flatnonzero(core):
-        for n, tag in chains[i]:
-            if tag in ("article", "main"):
-                held[n] = held.get(n, 0.0) + float(free[i])
-                break
-    return max(held, key=held.get, default=None)
+            return {region}, False
+        region, depth = best, depth + 1
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:

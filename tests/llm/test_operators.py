@@ -534,6 +534,17 @@ def test_main_text(html, expected):
     assert extract_main.main_text(html) == expected
 
 
+def test_main_text_keeps_formulas_and_split_articles():
+    prose = lambda w: f"<p>{' '.join([w] * 30)}.</p>"
+    page = "<body><nav><a href=x>home</a></nav>{}<footer>foot</footer></body>"
+    sums = "<p>The sum <math><mi>a</mi> <mo>=</mo> <mi>b</mi><annotation>TEX</annotation></math> stands in this long line of text.</p>"
+    got = extract_main.main_text(page.format(f"<article>{sums}{prose('word')}</article>"))
+    assert got.split("\n")[0] == "The sum a = b stands in this long line of text."
+    parts = [[prose(a), prose(b)] for a, b in (("four", "five"), ("nine", "zero"))]
+    got = extract_main.main_text(page.format("".join(f"<article>{x}{y}</article>" for x, y in parts)))
+    assert [x.split()[0] for x in got.split("\n")] == ["four", "five", "nine", "zero"]
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", None, 3), (1, None, "<p>x</p>", 4), (None, "u", "", 5), (2, "u", "<p>" + "word " * 50_000, 6)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

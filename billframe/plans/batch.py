@@ -74,14 +74,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: Settings = DEFAULT_SETTINGS,
               rates: DataFrame | None = None, now: str | None = None, batch_date: str | _dt.date | None = None,
-              limit: int | None = None, only: DataFrame | None = None) -> dict[str, DataFrame]:
+              limit: int | None = None, only: DataFrame | None = None,
+              listing: DataFrame | None = None) -> dict[str, DataFrame]:
     """Run one batch. ``batch_date``: take the files of that date's folder (A4, A5); ``limit``: only
-    the first so many in path order (A16); ``only``: only files with these paths (column path)."""
+    the first so many in path order (A16); ``only``: only files with these paths (column path);
+    ``listing`` (path, length, modificationTime): where empty files are found, instead of a walk of the tree."""
     configure(spark)
     run = uuid.uuid4().hex  # stages of this run alone
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
     raw = partition_root(paths.raw, resolve_batch_date(batch_date)) if batch_date is not None else paths.raw
-    found = discover_files(spark, raw)
+    found = discover_files(spark, raw, listing=listing)
     if only is not None:
         found = found.join(only.select("path").distinct(), "path", "left_semi")
     manifest = gate_rule(in_order(limit_batch(found, limit))).withColumn(

@@ -43,18 +43,24 @@ def _empty_files(spark: SparkSession, root: str) -> list[tuple[str, int]]:
     return out
 
 
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*"
+
+
+def _base(spark: SparkSession, root: str) -> str:
+    """The qualified path of a folder without its scheme."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    whole = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return re.sub(_SCHEME, "/", whole).rstrip("/")
+
+
 def relative_path(spark: SparkSession, path: Column, root: str, encoded: bool = False) -> Column:
     """The part of a file's path below ``root``, whatever form of URI either has.
 
     ``encoded``: the path is URL-encoded, as in Spark's file metadata column.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    whole = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
-    scheme = r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*"
-    base = re.sub(scheme, "/", whole).rstrip("/")
     plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))) if encoded else path
-    return F.substring(F.regexp_replace(plain, scheme, "/"), len(base) + 2, 1 << 30)
+    return F.substring(F.regexp_replace(plain, _SCHEME, "/"), len(_base(spark, root)) + 2, 1 << 30)
 
 
 def document_key(relative: Column) -> Column:
@@ -78,7 +84,7 @@ def discover_files(spark: SparkSession, root: str, with_sha256: bool = True, lis
     """A1-A3: manifest of every ``.pdf`` under root; a missing root yields an empty one.
 
     ``listing`` (path, length, modificationTime) replaces the walk for empty
-    files. Files beyond the size limit come from metadata alone: their rows
+    files; its rows outside root and other than ``.pdf`` do not count. Files beyond the size limit come from metadata alone: their rows
     have no header test and no digest, and their contents are never read.
     """
     if not _path_exists(spark, root):
@@ -95,7 +101,8 @@ def discover_files(spark: SparkSession, root: str, with_sha256: bool = True, lis
     large = raw.select("path", "length", "modificationTime").where(F.col("length") > MAX_DOCUMENT_SIZE_BYTES)
     files = files.unionByName(large.select(*_described(large), *none))
     if listing is not None:
-        empty = listing.where("length = 0").select("path", "length", "modificationTime")
+        below = F.regexp_replace("path", _SCHEME, "/").startswith(_base(spark, root) + "/")
+        empty = listing.where((F.col("length") == 0) & below & F.lower("path").endswith(".pdf")).select("path", "length", "modificationTime")
     else:
         empty = spark.createDataFrame(_empty_files(spark, root), "path string, mtime long").select(
             "path", F.lit(0).cast("bigint").alias("length"), F.timestamp_millis("mtime").alias("modificationTime"))

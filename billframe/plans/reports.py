@@ -186,6 +186,20 @@ def size_gate(spark: SparkSession, sf: str) -> DataFrame:
     return gate_rule(manifest).select("doc_id", "size_bytes", "hard_rule", "failed_at_stage")
 
 
+def size_gate_contents(spark: SparkSession, sf: str) -> DataFrame:
+    """The gates over the measured size and first five bytes of every text, as it is and under a PDF header."""
+    configure(spark)
+    text = F.coalesce("text", F.lit(""))
+    files = table(spark, sf, "documents").select("doc_id", F.explode(F.array(
+        F.struct(F.lit("plain").alias("kind"), text.cast("binary").alias("content")),
+        F.struct(F.lit("headed").alias("kind"), F.concat(F.lit("%PDF-1.7 "), text).cast("binary").alias("content")),
+    )).alias("f")).select("doc_id", "f.*")
+    manifest = files.select(
+        "doc_id", "kind", F.octet_length("content").cast("bigint").alias("size_bytes"),
+        (F.substring("content", 1, 5) == F.lit(bytearray(b"%PDF-"))).alias("has_pdf_magic"))
+    return gate_rule(manifest).select("doc_id", "kind", "size_bytes", "has_pdf_magic", "hard_rule", "failed_at_stage")
+
+
 def document_messages(spark: SparkSession, sf: str) -> DataFrame:
     """The JSON given to the mapping model, by some of its members."""
     p = _expense(spark, sf)
@@ -226,6 +240,7 @@ QUERIES = {
     for f in (
         get_by_key, answer_sample, month_stats, flag_report, batch_outcomes, rule_counts, provenance, fx_audit,
         load_history, page_counts, label_value_view, malformed_envelopes, vendor_keys, alias_apply, size_gate,
+        size_gate_contents,
         document_messages, gold_jsonl, assembled_pages,
     )
 }
@@ -303,6 +318,17 @@ SELECT final_status AS status, count(*) AS n, CAST(sum(total_gbp) AS DECIMAL(18,
     "assembled_pages": """
 SELECT o_orderkey, o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AS job_ok,
   CAST(CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 THEN 6 ELSE 0 END AS BIGINT) AS n_fields FROM orders""",
+    "size_gate_contents": f"""
+WITH f AS (
+  SELECT doc_id, 'plain' AS kind, coalesce(text, '') AS t FROM documents
+  UNION ALL SELECT doc_id, 'headed', '%PDF-1.7 ' || coalesce(text, '') FROM documents
+),
+m AS (
+  SELECT doc_id, kind, CAST(strlen(t) AS BIGINT) AS size_bytes, starts_with(t, '%PDF-') AS has_pdf_magic,
+    NOT starts_with(t, '%PDF-') OR strlen(t) = 0 OR strlen(t) > {MAX_DOCUMENT_SIZE_BYTES} AS failed FROM f
+)
+SELECT doc_id, kind, size_bytes, has_pdf_magic, CASE WHEN failed THEN 'EXTRACTION_FAILED' END AS hard_rule,
+  CASE WHEN failed THEN 'extraction' END AS failed_at_stage FROM m""",
     "size_gate": f"""
 WITH m AS (
   SELECT doc_id, CAST(CASE doc_id % 10 WHEN 0 THEN 0 WHEN 1 THEN {MAX_DOCUMENT_SIZE_BYTES + 1} WHEN 2 THEN {MAX_DOCUMENT_SIZE_BYTES}

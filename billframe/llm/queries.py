@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billframe.llm import decontaminate, extract_main, licence_scan, line_dedup, lm_lattice, mixture, quality_fm, quality_rules, simhash, token_count
+from billframe.llm import (
+    decontaminate,
+    extract_main,
+    language_id,
+    licence_scan,
+    line_dedup,
+    lm_lattice,
+    mixture,
+    periodic_runs,
+    quality_fm,
+    quality_rules,
+    simhash,
+    token_count,
+    vector_codes,
+)
 from billframe.llm.common import crc_mod, tune
 from billframe.sources.tables import table
 
@@ -102,6 +116,26 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them with the contract's repeated tail."""
+    docs = periodic_runs.with_planted_runs(table(tune(spark), sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.periodic_runs(docs))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(tune(spark), sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    found = language_id.languages(docs, language_id.train(docs, learn=~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings under codebooks of six rounds."""
+    codes, codebooks = vector_codes.compress(table(tune(spark), sf_dir, "embeddings"))
+    return vector_codes.digest(codes, codebooks)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -114,6 +148,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixture": op8_mixture,
     "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_language_id": op12_language_id,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: DuckDB SQL where SQL can express the operator.
@@ -122,4 +159,5 @@ ORACLE: dict[str, str] = {
     "op7_line_dedup": line_dedup.SQL.format(documents="documents"),
     "op8_mixture": mixture.SQL.format(documents="documents"),
     "op9_decontamination": decontaminate.SQL,
+    "op13_vector_codes": vector_codes.sql(),
 }

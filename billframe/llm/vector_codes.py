@@ -56,6 +56,8 @@ SLACK = 1e-9
 PLAIN = 1 << 24
 LONG_MAX = (1 << 63) - 1
 HOT_SHARE = 1024
+#: Rows that one walk of a tree takes.
+BATCH_ROWS = 4096
 
 
 @dataclass
@@ -170,6 +172,19 @@ def _integers(column: pa.Array, dimension: int) -> np.ndarray:
     return out
 
 
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``BATCH_ROWS`` rows: a tree is walked once for each."""
+    held, rows = [], 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= BATCH_ROWS:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.concat_batches(held)
+
+
 def _kept(df: DataFrame, vector: Column, scale: int) -> tuple[Column, Column]:
     """Whether a row is kept, and its vector as integers (within the range of a long)."""
     x = vector.cast("array<double>")
@@ -192,7 +207,7 @@ def _sums(kept: DataFrame, coder: Coder, dimension: int) -> dict[tuple[int, int]
         coder = sent.value
         width = dimension // len(coder.books)
         totals: dict[tuple[int, int], list] = {}
-        for b in batches:
+        for b in _larger(batches):
             vectors = _integers(b.column("v"), dimension)
             codes, _ = coder.assign(vectors)
             wide = vectors if not vectors.size or int(np.abs(vectors).max()) <= PLAIN else vectors.astype(object)
@@ -255,7 +270,7 @@ def compress(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = sent.value
-        for b in batches:
+        for b in _larger(batches):
             codes, errors = coder.assign(_integers(b.column("v"), dimension))
             error = sum(errors[1:], errors[0])
             if error.dtype == object:

@@ -260,7 +260,8 @@ def compress(
     spark = tune(df.sparkSession)
     ok, whole = _kept(df, F.col(vector_col), scale)
     kept = df.where(ok).select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), whole.alias("v"))
-    longest = df.where(ok).agg(F.max(F.size(F.col(vector_col)))).first()[0]
+    kept = write_stage(kept, "vector-integers")  # every round reads them
+    longest = kept.agg(F.max(F.size("v"))).first()[0]
     dimension = -(-(longest or 0) // parts) * parts
     coder = train(kept, dimension, parts, entries, rounds)
     out = T.StructType([kept.schema["vec_id"], kept.schema["label"], T.StructField("code", T.ArrayType(T.IntegerType())), T.StructField("error", T.LongType())])

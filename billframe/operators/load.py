@@ -1,10 +1,9 @@
 """K2-K9: keyed first-write-wins load, duplicates, tombstones, outcomes.
 
-Dedup is a partial aggregation (min load order per folded key, history keys
-first) plus one join on ``dedup_key``: map-side combining keeps a hot key to
-one row per task before the shuffle, and AQE's skew-join split handles a hot
-key on the join's big side. Quarantined rows take part under keys of their own,
-so they spread evenly and match nothing.
+Dedup is decided on (key, order) only: a partial aggregation (min load order per
+folded key, history keys first), where map-side combining keeps a hot key to one
+row per task. The orders that win are joined back to the whole rows on the order,
+which is unique, so whole rows cross one shuffle and no key can be hot there.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 from billframe.config import DUPLICATE_SKIPPED, MONEY_FIELDS, QUARANTINED, SCHEMA_VERSION
 from billframe.functions import fold_key, month_key
 from billframe.functions.money import MONEY_TYPE
+from billframe.operators.key_index import touched
 
 
 def with_keys(records: DataFrame) -> DataFrame:
@@ -43,29 +43,26 @@ def first_write_wins(
 
     ``records`` carry ``hard_rule``/``status`` (from build_records) and a
     unique ``order_col``. ``history`` is any DataFrame with ``dedup_key`` (the
-    gold table): a key already there is a duplicate; within the batch the
-    lowest ``order_col`` wins. Invalid rows get a unique key that no folded
-    key can equal ('~' is never produced by the fold), so no filter is needed
-    (a pushed-down filter would re-inline the whole parse) and they spread
-    evenly instead of piling onto a NULL key. Returns every input row with
+    gold table), or the key index (``dedup_key``, ``bucket``), of which only the
+    batch's own buckets are read: a key already there is a duplicate; within the
+    batch the lowest ``order_col`` wins. Invalid rows have no key. Write
+    ``records`` before, since they are read twice. Returns every input row with
     ``dedup_key`` (NULL for invalid rows), ``is_new`` and the final status.
     """
     valid = F.col("hard_rule").isNull()
-    keyed = with_keys(records).withColumn(
-        "_k", F.when(valid, F.col("dedup_key")).otherwise(
-            F.concat(F.lit("~"), F.col("source_file").cast("string"), F.lit("~"), F.col(order_col).cast("string")))
-    )
-    candidates = keyed.select(F.col("_k"), F.col(order_col).cast("long").alias("_order"))
+    keyed = with_keys(records)
+    narrow = keyed.select(F.when(valid, F.col("dedup_key")).alias("dedup_key"), F.col(order_col).cast("long").alias("_order"))
+    narrow = narrow.where(F.col("dedup_key").isNotNull())
+    candidates = narrow
     if history is not None:
-        candidates = candidates.unionByName(
-            history.select(F.col("dedup_key").alias("_k"), F.lit(-1).cast("long").alias("_order"))
-        )
-    firsts = candidates.groupBy("_k").agg(F.min("_order").alias("_first"))
-    joined = keyed.join(firsts, "_k", "left")
-    is_new = valid & (F.col(order_col).cast("long") == F.col("_first"))
+        before = touched(history, narrow) if "bucket" in history.columns else history.select("dedup_key")
+        candidates = narrow.unionByName(before.withColumn("_order", F.lit(-1).cast("long")))
+    firsts = candidates.groupBy("dedup_key").agg(F.min("_order").alias("_first")).select("_first").where(F.col("_first") >= 0)
+    joined = keyed.withColumn("_order", F.col(order_col).cast("long")).join(firsts, F.col("_order") == F.col("_first"), "left")
+    is_new = valid & F.col("_first").isNotNull()
     null_keys = ["PK", "SK", "dedup_key", "vendor_key", "month", "date_sk"]
     return joined.select(
-        *[c for c in keyed.columns if c not in null_keys + ["_k", "status"]],
+        *[c for c in keyed.columns if c not in null_keys + ["status"]],
         *[F.when(valid, F.col(c)).alias(c) for c in null_keys],
         is_new.alias("is_new"),
         F.when(~valid | is_new, F.col("status")).otherwise(F.lit(DUPLICATE_SKIPPED)).alias("status"),

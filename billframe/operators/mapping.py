@@ -9,7 +9,9 @@ Tables (long form, one row per item):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, MapType, StringType, StructField, StructType
 
@@ -24,6 +26,8 @@ from billframe.config import (
     required_names,
 )
 from billframe.functions import fold_key, normalize_label, strip_ws
+from billframe.operators.skew import join_unique
+from billframe.plans.stages import materialize
 
 TOOL_NAME = "map_invoice_fields"
 FIELDS_TYPE = StructType([StructField(n, StringType()) for n in canonical_names()])
@@ -158,12 +162,14 @@ def vendor_keys(summary_fields: DataFrame) -> DataFrame:
     )
 
 
-def learn_entries(payloads: DataFrame, order_col: str = "load_order") -> DataFrame:
-    """The best alias entry of every vendor in model-sourced payloads, labels included.
+ENTRY_FIELDS = ("company_name", "labels", "constants", "coverage", "model_id", "multiple_total_candidates", "learned_order")
+
+
+def entries_of(payloads: DataFrame, order_col: str = "load_order") -> DataFrame:
+    """The alias entry that each model-sourced payload teaches.
 
     vendor_key, company_name, labels (canonical -> printed), constants,
-    coverage, model_id, multiple_total_candidates, learned_order: one row per
-    vendor, that with the highest coverage, ties -> the later payload.
+    coverage, model_id, multiple_total_candidates, learned_order.
     """
     names = list(canonical_names())
     n = float(len(names))
@@ -175,7 +181,7 @@ def learn_entries(payloads: DataFrame, order_col: str = "load_order") -> DataFra
         lambda e: (e["value"] != "") & ~F.map_contains_key(labels, e["key"]),
     ))
     covered = F.array_union(F.map_keys(labels), F.map_keys(constants))
-    src = payloads.where((company != "") & (F.size(labels) > 0)).select(
+    return payloads.where((company != "") & (F.size(labels) > 0)).select(
         fold_key(company).alias("vendor_key"),
         company.alias("company_name"),
         labels.alias("labels"),
@@ -183,8 +189,13 @@ def learn_entries(payloads: DataFrame, order_col: str = "load_order") -> DataFra
         (F.size(covered) / F.lit(n)).alias("coverage"),
         F.coalesce(F.col("model_id"), F.lit("")).alias("model_id"),
         F.coalesce(F.col("multiple_total_candidates"), F.lit(False)).alias("multiple_total_candidates"),
-        F.col(order_col).alias("learned_order"),
+        F.col(order_col).cast("long").alias("learned_order"),
     )
+
+
+def learn_entries(payloads: DataFrame, order_col: str = "load_order") -> DataFrame:
+    """The best alias entry of every vendor: the highest coverage, ties -> the later payload."""
+    src = entries_of(payloads, order_col)
     return src.groupBy("vendor_key").agg(
         F.max_by(F.struct(*src.columns), F.struct("coverage", "learned_order")).alias("e")
     ).select("e.*")
@@ -203,51 +214,138 @@ def learn_aliases(payloads: DataFrame, order_col: str = "load_order") -> tuple[D
     return alias_tables(learn_entries(payloads, order_col))
 
 
-def apply_aliases(summary_fields: DataFrame, head: DataFrame, alias: DataFrame,
-                  settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
-    """Rebuild payloads from learned aliases; only complete hits are returned.
+def _own_labels(summary_fields: DataFrame) -> DataFrame:
+    """(source_file, label, value): the last field with each printed label of a document."""
+    return summary_fields.select(
+        "source_file", "pos", strip_ws(F.col("label")).alias("label"), strip_ws(F.col("value")).alias("value")
+    ).groupBy("source_file", "label").agg(F.max_by("value", "pos").alias("value")).where("value <> ''")
+
+
+def _with_entry(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """C8 for documents (source_file, entry): every payload that its entry gives, with ``hit``: all required fields filled.
 
-    Joins are on (vendor_key, label) and source_file; the alias tables scale
-    with vendors, not invoices, and are left to the planner (AQE broadcasts
-    them at runtime when they are small).
+    Only the labels that the entry names leave the join: thirteen rows of a document at most.
     """
     names = list(canonical_names())
     dflt = defaults()
-    vk = vendor_keys(summary_fields)
-    heads = head.where(F.col("coverage") >= settings.alias_min_coverage)
-    docs = vk.where(F.col("vendor_key").isNotNull()).join(heads, "vendor_key", "inner")
-    by_label = summary_fields.select(
-        "source_file", "pos", strip_ws(F.col("label")).alias("label"), strip_ws(F.col("value")).alias("value")
-    ).groupBy("source_file", "label").agg(F.max_by("value", "pos").alias("value"))
-    hits = (
-        docs.select("source_file", "vendor_key")
-        .join(by_label, "source_file")
-        .join(alias, ["vendor_key", "label"])
-        .where(F.col("value") != "")
-        .groupBy("source_file")
-        .agg(F.map_from_entries(F.collect_list(F.struct("canonical", "value"))).alias("vals"),
-             F.map_from_entries(F.collect_list(F.struct("canonical", "label"))).alias("source_labels"))
-    )
-    j = docs.join(hits, "source_file", "left")
-    vals = F.coalesce(F.col("vals"), F.create_map().cast("map<string,string>"))
-    consts = F.coalesce(F.col("constants"), F.create_map().cast("map<string,string>"))
-
-    def pick(name: str) -> Column:
-        return F.coalesce(vals.getItem(name), consts.getItem(name), F.lit(dflt.get(name, "")))
-
-    fields = F.struct(*[pick(n).alias(n) for n in names])
-    out = j.select(
+    empty = F.create_map().cast("map<string,string>")
+    named = docs.select("source_file", F.explode(F.map_entries("entry.labels")).alias("l")).select(
+        "source_file", F.col("l.key").alias("canonical"), strip_ws(F.col("l.value")).alias("label"))
+    found = named.join(own, ["source_file", "label"]).groupBy("source_file").agg(
+        F.map_from_entries(F.collect_list(F.struct("canonical", "value"))).alias("vals"),
+        F.map_from_entries(F.collect_list(F.struct("canonical", "label"))).alias("source_labels"))
+    j = docs.join(found, "source_file", "left")
+    vals, consts = F.coalesce("vals", empty), F.coalesce("entry.constants", empty)
+    fields = F.struct(*[F.coalesce(vals.getItem(n), consts.getItem(n), F.lit(dflt.get(n, ""))).alias(n) for n in names])
+    return j.select(
         "source_file",
         fields.alias("fields"),
-        F.coalesce(F.col("source_labels"), F.create_map().cast("map<string,string>")).alias("source_labels"),
-        F.create_map().cast("map<string,string>").alias("unmapped_metadata"),
-        F.col("multiple_total_candidates"),
+        F.coalesce("source_labels", empty).alias("source_labels"),
+        empty.alias("unmapped_metadata"),
+        F.col("entry.multiple_total_candidates").alias("multiple_total_candidates"),
         F.concat(F.lit("labels known from earlier invoices of vendor "), F.col("vendor_key")).alias("notes"),
-        F.col("model_id"),
+        F.col("entry.model_id").alias("model_id"),
         F.lit("vendor_alias_cache").alias("source"),
         F.lit(0).alias("attempts"),
-    )
-    return out.where(~required_blank(F.col("fields")))
+    ).withColumn("hit", ~required_blank(F.col("fields")))
+
+
+def apply_entries(summary_fields: DataFrame, entries: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
+    """Rebuild payloads from alias entries (one row a vendor, as ``learn_entries`` gives them); only
+    complete hits are returned. A vendor's entry is attached to its documents once, as one value."""
+    spark = summary_fields.sparkSession
+    vendors = materialize(vendor_keys(summary_fields), "alias_vendors", (uuid.uuid4().hex,), spark=spark)
+    known = entries.where(F.col("coverage") >= settings.alias_min_coverage).select(
+        "vendor_key", F.struct(*[c for c in entries.columns if c != "vendor_key"]).alias("entry"))
+    docs = join_unique(vendors, known, "vendor_key")
+    return _with_entry(docs, _own_labels(summary_fields)).where("hit").drop("hit")
+
+
+def apply_aliases(summary_fields: DataFrame, head: DataFrame, alias: DataFrame,
+                  settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
+    """C8 with the entries given as head and alias tables."""
+    labels = alias.groupBy("vendor_key").agg(F.map_from_entries(F.collect_list(F.struct("canonical", "label"))).alias("labels"))
+    entries = head.join(labels, "vendor_key", "left").withColumn(
+        "labels", F.coalesce("labels", F.create_map().cast("map<string,string>")))
+    return apply_entries(summary_fields, entries, settings)
+
+
+#: Load orders that one block of the running best covers.
+ORDER_BLOCK_BITS = 12
+
+
+def _best_before(readers: DataFrame, writers: DataFrame) -> DataFrame:
+    """For each reader (key, at, ...) the best entry that a writer (key, at, entry) before it left.
+
+    Best: highest coverage, then latest. A running maximum in two levels: over
+    the blocks of a key (one value each), then inside a block of 2^12 orders, so
+    a vendor with very many documents is no single task.
+    """
+    block = F.shiftright("at", ORDER_BLOCK_BITS)
+    writers = writers.withColumn("block", block)
+    rank = F.struct(F.col("entry.coverage").alias("coverage"), F.col("at").alias("at"), F.col("entry").alias("entry"))
+    blocks = writers.groupBy("key", "block").agg(F.max_by(rank, F.struct("entry.coverage", "at")).alias("best"))
+    readers = readers.withColumn("block", block)
+    # Blocks that readers are in take part without a value.
+    steps = blocks.select("key", "block", "best").unionByName(
+        readers.select("key", "block").distinct().withColumn("best", F.lit(None).cast(blocks.schema["best"].dataType)))
+    steps = steps.groupBy("key", "block").agg(F.max_by("best", F.struct("best.coverage", "best.at")).alias("best"))
+    up_to = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = steps.select("key", "block", F.max_by("best", F.struct("best.coverage", "best.at")).over(up_to).alias("before"))
+    inside = Window.partitionBy("key", "block").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    both = readers.withColumn("best", F.lit(None).cast(blocks.schema["best"].dataType)).unionByName(
+        writers.select("key", "block", "at", rank.alias("best")), allowMissingColumns=True)
+    seen = both.withColumn("here", F.max_by("best", F.struct("best.coverage", "best.at")).over(inside))
+    out = seen.where(F.col("source_file").isNotNull()).join(earlier, ["key", "block"], "left")
+    best = F.when(F.col("before").isNull(), F.col("here")).when(F.col("here").isNull(), F.col("before")).otherwise(
+        F.when(F.struct("here.coverage", "here.at") > F.struct("before.coverage", "before.at"), F.col("here")).otherwise(F.col("before")))
+    return out.select(*[c for c in readers.columns if c != "block"], best["entry"].alias("entry"), best["at"].alias("entry_at"))
+
+
+def map_in_order(summary_fields: DataFrame, model_payloads: DataFrame, orders: DataFrame, known: DataFrame | None = None,
+                 settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
+    """C7-C9 within a batch: every document sees what the documents before it taught.
+
+    ``orders`` (source_file, load_order >= 0) names the documents. A document
+    takes the best entry of its vendor among ``known`` and the model payloads of
+    earlier documents that found no hit; without a hit it goes to the model and
+    teaches in its turn. Who goes to the model is found by iteration: from the
+    assumption that all do, each round looks up the best entries before every
+    document and decides anew. What a document does depends on earlier documents
+    only, so a round without change is the sequential result, and after n rounds
+    the first n documents of each vendor are right: as many rounds as the
+    longest chain of decisions that overturn each other, two or three where a
+    vendor's invoices are alike. Every round is written.
+    """
+    spark, run = summary_fields.sparkSession, uuid.uuid4().hex
+    own = materialize(_own_labels(summary_fields), "alias_labels", (run,), spark=spark)
+    model = model_payloads.where("mapping_ok").join(orders, "source_file")
+    taught = entries_of(model).select(F.col("vendor_key").alias("key"), F.col("learned_order").alias("at"),
+                                      F.struct(*ENTRY_FIELDS).alias("entry"))
+    taught = materialize(taught, "alias_taught", (run,), spark=spark)
+    if known is not None:
+        before = known.select(F.col("vendor_key").alias("key"), F.lit(-1).cast("long").alias("at"), F.struct(*ENTRY_FIELDS).alias("entry"))
+    readers = orders.join(vendor_keys(summary_fields), "source_file", "left").select(
+        F.col("vendor_key").alias("key"), F.col("load_order").cast("long").alias("at"), "source_file")
+    readers = materialize(readers, "alias_readers", (run,), spark=spark)
+    hits = None
+    for i in range(1 << 30):
+        writers = taught
+        if hits is not None:
+            writers = taught.join(hits.select(F.col("load_order").alias("at")), "at", "left_anti")
+        if known is not None:
+            writers = writers.unionByName(before)
+        docs = _best_before(readers.where(F.col("key").isNotNull()), writers).where(
+            F.col("entry.coverage") >= settings.alias_min_coverage).select("source_file", F.col("key").alias("vendor_key"), F.col("at").alias("load_order"), "entry", "entry_at")
+        docs = materialize(docs, "alias_docs", (run, str(i)), spark=spark)
+        now = _with_entry(docs, own).where("hit").drop("hit").join(docs.select("source_file", "load_order", "entry_at"), "source_file")
+        now = materialize(now, "alias_hits", (run, str(i)), spark=spark)
+        if hits is not None:
+            key = ["source_file", "entry_at"]
+            if now.select(*key).exceptAll(hits.select(*key)).isEmpty() and hits.select(*key).exceptAll(now.select(*key)).isEmpty():
+                break
+        hits = now
+    return route(hits, model_payloads.where(F.col("source_file").isNotNull()))
 
 
 def route(alias_payloads: DataFrame, model_payloads: DataFrame) -> DataFrame:

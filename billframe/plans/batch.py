@@ -8,9 +8,9 @@
 
 Documents are named by their path below the batch's folder, in every stage and
 every join. A failing document becomes a row with a ``hard_rule``, never an
-exception. Each sink but gold keeps one folder for each batch and replaces it,
-so running a batch again leaves one copy of everything; its keys are already
-in gold, so nothing is appended there (DUPLICATE_SKIPPED).
+exception. All sinks of a run are published by one commit (``commits``): a run
+that dies leaves nothing that readers see, and is run again; a batch that was
+committed is not run again, its results are returned as they are.
 """
 
 from __future__ import annotations
@@ -27,85 +27,93 @@ from billframe.config import DEFAULT_SETTINGS, EXTRACTION_ERROR, MAPPING_ERROR,
 from billframe.operators import extract as X
 from billframe.operators import load as L
 from billframe.operators import mapping as M
+from billframe.operators import paging as P
 from billframe.operators.fx import fx_table
+from billframe.operators.key_index import index_rows
 from billframe.operators.records import build_records
+from billframe.plans.commits import Run, exists, live, read_sink
 from billframe.plans.stages import materialize
 from billframe.session import configure
 from billframe.sources.envelopes import read_json_folder
 from billframe.sources.manifest import (
-    discover_files,
     document_key,
     gate_rule,
     in_order,
-    limit_batch,
+    list_files,
+    new_batch_id,
     partition_root,
     relative_path,
     resolve_batch_date,
+    with_headers,
 )
 
 
 @dataclass
 class BatchPaths:
     raw: str            # PDFs (read-only)
-    ocr: str            # <path>.json expense envelopes, <path>.blocks.json block envelopes
+    ocr: str            # <path>[.page<any>].json expense envelopes, <path>.blocks[.page<any>].json block envelopes
     model: str          # <path>.mapped.json tool inputs or <path>.attempt<N>.json responses
-    out: str            # gold/, tombstones/, quarantine/, silver/, outcomes/, alias/
+    out: str            # gold/, gold_keys/, tombstones/, quarantine/, silver/, outcomes/, classified/, alias/, _commits/
 
 
-def _captured(spark: SparkSession, folder: str) -> DataFrame:
-    """Captured JSON files with the document each belongs to."""
-    return read_json_folder(spark, folder).withColumn(
+def _of_day(spark: SparkSession, folder: str, batch_date: _dt.date | None) -> DataFrame:
+    """Captured JSON files, of one date's folder only where there is a date."""
+    part = folder if batch_date is None else partition_root(folder, batch_date)
+    if not exists(spark, part):
+        return spark.createDataFrame([], "path string, json_name string, body string, source_file string")
+    return read_json_folder(spark, part).withColumn(
         "source_file", document_key(relative_path(spark, F.col("path"), folder, encoded=True)))
 
 
-def _replace(df: DataFrame, out: str, sink: str, batch_id: str, kind: str = "parquet") -> DataFrame:
-    """Write a batch's rows of a sink, in place of any it had, and read them back."""
-    path = os.path.join(out, sink, f"batch_id={batch_id}")
-    rows = df.drop("batch_id")
-    rows.write.mode("overwrite").format(kind).save(path)
-    return df.sparkSession.read.format(kind).schema(rows.schema).load(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: Settings = DEFAULT_SETTINGS,
+def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str | None = None, settings: Settings = DEFAULT_SETTINGS,
               rates: DataFrame | None = None, now: str | None = None, batch_date: str | _dt.date | None = None,
               limit: int | None = None, only: DataFrame | None = None,
-              listing: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Run one batch. ``batch_date``: take the files of that date's folder (A4, A5); ``limit``: only
-    the first so many in path order (A16); ``only``: only files with these paths (column path);
-    ``listing`` (path, length, modificationTime): where empty files are found, instead of a walk of the tree."""
+              listing: DataFrame | None = None, opener=None) -> dict[str, DataFrame]:
+    """Run one batch, or return what it wrote if it was committed before.
+
+    ``batch_id``: a new one of the current time where None (A9). ``batch_date``:
+    take the files and captured results of that date's folder (A4, A5);
+    ``limit``: only the first so many files in path order (A16); ``only``: only
+    files with these paths (column path); ``listing`` (path, length,
+    modificationTime): the files there are, instead of a walk of the tree.
+    Date, limit and ``only`` are decided on the listing, before files are opened.
+    """
     configure(spark)
     run = uuid.uuid4().hex  # stages of this run alone
     now = now or _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
-    raw = partition_root(paths.raw, resolve_batch_date(batch_date)) if batch_date is not None else paths.raw
-    found = discover_files(spark, raw, listing=listing)
-    if only is not None:
-        found = found.join(only.select("path").distinct(), "path", "left_semi")
-    manifest = gate_rule(in_order(limit_batch(found, limit))).withColumn(
+    if batch_id is None:
+        batch_id = spark.range(1).select(new_batch_id(F.lit(now).cast("timestamp"))).first()[0]
+    done = live(spark, paths.out).get(batch_id)
+    if done is not None:
+        return committed_batch(spark, paths.out, batch_id)
+    date = resolve_batch_date(batch_date) if batch_date is not None else None
+    sinks = Run(spark, paths.out, batch_id, date.isoformat() if date else None)
+    raw = partition_root(paths.raw, date) if date else paths.raw
+    chosen = materialize(list_files(spark, raw, listing, only, limit), "batch_listing", (run,), spark=spark)
+    opened = materialize(with_headers(spark, chosen, raw, opener=opener), "batch_headers", (run,), spark=spark)
+    manifest = gate_rule(in_order(opened)).withColumn(
         "source_file", document_key(relative_path(spark, F.col("path"), paths.raw)))
     manifest = materialize(manifest, "batch_manifest", (run,), spark=spark)
     wanted = manifest.where(F.col("hard_rule").isNull()).select("source_file")
 
     # Extraction (B2-B12): expense envelopes, block fallback for unusable ones. Its results are
     # written once: silver (A10) is what every later step reads.
-    ocr = _captured(spark, paths.ocr).join(wanted, "source_file", "left_semi")
-    is_block = F.col("json_name").endswith(".blocks.json")
-    expense = materialize(X.parse_envelopes(ocr.where(~is_block)).drop("body"), "batch_expense", (run,), spark=spark)
-    blocks = ocr.where(is_block).select("source_file", "body")
+    ocr = _of_day(spark, paths.ocr, date).join(wanted, "source_file", "left_semi")
+    pages = materialize(P.captured_pages(ocr), "batch_pages", (run,), spark=spark)
+    is_block = F.col("json_name").rlike(r"(?i)\.blocks(\.page[a-z0-9_-]*)?\.json$")
+    columns = ["source_file", "body", "token", "next_token", "status"]
+    whole = P.joined_bodies(pages.where(~is_block).select(*columns), "ExpenseDocuments")
+    expense = materialize(X.parse_envelopes(whole).drop("body"), "batch_expense", (run,), spark=spark)
+    blocks = P.joined_bodies(pages.where(is_block).select(*columns), "Blocks").select("source_file", "body")
     summary, items, headers = X.fallback_merge(
         X.expense_summary_fields(expense), X.expense_line_items(expense), blocks, expense.select("source_file"), settings)
     headers = headers.join(expense.select("source_file", X.job_succeeded(F.col("env")).alias("job_ok")), "source_file", "left")
-    summary = _replace(summary, paths.out, "silver/summary_fields", batch_id)
-    items = _replace(items, paths.out, "silver/line_items", batch_id)
-    headers = _replace(headers, paths.out, "silver/documents", batch_id)
+    summary = sinks.write(summary, "silver/summary_fields")
+    items = sinks.write(items, "silver/line_items")
+    headers = sinks.write(headers, "silver/documents")
 
     # Mapping (C1-C4, C8-C9): captured attempts, alias hits from earlier batches.
-    model_files = _captured(spark, paths.model).join(wanted, "source_file", "left_semi")
+    model_files = _of_day(spark, paths.model, date).join(wanted, "source_file", "left_semi")
     attempts = model_files.select(
         "source_file",
         F.coalesce(F.regexp_extract("json_name", r"\.attempt(\d+)\.json$", 1).try_cast("int"), F.lit(1)).alias("attempt"),
@@ -123,15 +131,12 @@ def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: S
         F.coalesce(F.get_json_object("body", "$.model_id"), F.lit("")).alias("model_id"),
     )
     model_payloads = M.select_attempt(shaped, settings, is_tool_input=True)
-    known = known_aliases(spark, paths.out, but=batch_id)
-    if known is not None:
-        head, labels = M.alias_tables(known)
-        payloads = M.route(M.apply_aliases(summary, head, labels, settings), model_payloads)
-    else:
-        payloads = model_payloads
+    model_payloads = materialize(model_payloads, "batch_model", (run,), spark=spark)
+    orders = manifest.where(F.col("hard_rule").isNull()).select("source_file", F.col("discovery_order").alias("load_order"))
+    payloads = M.map_in_order(summary, model_payloads, orders, known_aliases(spark, paths.out, but=batch_id), settings)
     payloads = M.finalize_metadata(payloads, headers, items)
     payloads = M.resolve_confidences(payloads, M.confidence_maps(summary, X.line_cells(items)))
-    payloads = _replace(payloads, paths.out, "silver/mapped", batch_id)
+    payloads = sinks.write(payloads, "silver/mapped")
 
     # Failure precedence before validation: gates > extraction > mapping.
     docs = manifest.join(headers.select("source_file", "extraction_ok", "job_ok"), "source_file", "left") \
@@ -154,31 +159,38 @@ def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str, settings: S
     records = materialize(build_records(docs, rates if rates is not None else fx_table(spark, settings), settings),
                           "batch_records", (run,), spark=spark)
 
-    # Load (K5-K7) against gold as it is now.
-    gold_dir = os.path.join(paths.out, "gold")
-    history = spark.read.parquet(gold_dir).select("dedup_key") if _exists(spark, gold_dir) else None
-    classified = materialize(L.first_write_wins(records, history), "batch_classified", (run,), spark=spark)
-    L.gold_items(classified, batch_id, now).write.mode("append").partitionBy("month").parquet(gold_dir)
-    _replace(L.tombstones(classified, batch_id, now), paths.out, "tombstones", batch_id)
+    # Load (K5-K7) against the published keys of gold. Nothing is seen of this run before its commit.
+    index = read_sink(spark, paths.out, "gold_keys")
+    classified = materialize(L.first_write_wins(records, index), "batch_classified", (run,), spark=spark)
+    gold = L.gold_items(classified, batch_id, now)
+    sinks.write(gold, "gold", partition_by=["month"])
+    sinks.write(index_rows(gold), "gold_keys", partition_by=["bucket"])
+    sinks.write(L.tombstones(classified, batch_id, now), "tombstones")
     sidecars = L.quarantine_sidecars(classified, payloads.select(
         "source_file", F.to_json(F.struct("fields", "source_labels", "unmapped_metadata")).alias("raw_mapped_payload")),
         batch_id, now)
-    _replace(sidecars, paths.out, "quarantine", batch_id, "json")
-    outcomes = _replace(L.outcomes(classified), paths.out, "outcomes", batch_id)
+    sinks.write(sidecars, "quarantine", "json")
+    sinks.write(L.outcomes(classified), "outcomes")
     # Learn aliases from this batch's model payloads for later batches.
     learn_src = classified.select("source_file", "load_order").join(payloads.where(F.col("source") == "bedrock"), "source_file")
-    _replace(M.learn_entries(learn_src).withColumn("learned_at", F.lit(now)), paths.out, "alias", batch_id)
-    return {"records": records, "classified": classified, "outcomes": outcomes}
+    sinks.write(M.learn_entries(learn_src).withColumn("learned_at", F.lit(now)), "alias")
+    sinks.write(classified.drop("batch_id"), "classified")
+    sinks.commit(now)
+    return committed_batch(spark, paths.out, batch_id)
+
+
+def committed_batch(spark: SparkSession, out: str, batch_id: str) -> dict[str, DataFrame]:
+    """What a committed batch decided: ``records`` and ``classified`` (one table), and its ``outcomes``."""
+    classified = read_sink(spark, out, "classified", batch_id=batch_id)
+    outcomes = read_sink(spark, out, "outcomes", batch_id=batch_id).drop("batch_id", "batch_date")
+    return {"records": classified, "classified": classified, "outcomes": outcomes}
 
 
 def known_aliases(spark: SparkSession, out: str, but: str | None = None) -> DataFrame | None:
     """The best alias entry of every vendor over all batches but one (ties: the latest)."""
-    path = os.path.join(out, "alias")
-    if not _exists(spark, path):
+    entries = read_sink(spark, out, "alias", but=but)
+    if entries is None:
         return None
-    entries = spark.read.option("basePath", path).parquet(path).withColumn("batch_id", F.col("batch_id").cast("string"))
-    if but is not None:
-        entries = entries.where(F.col("batch_id") != but)
     return entries.groupBy("vendor_key").agg(
         F.max_by(F.struct(*[c for c in entries.columns if c != "vendor_key"]), F.struct("coverage", "learned_at", "learned_order")).alias("e")
     ).select("vendor_key", "e.*")
@@ -186,25 +198,23 @@ def known_aliases(spark: SparkSession, out: str, but: str | None = None) -> Data
 
 def latest_sidecars(spark: SparkSession, out: str) -> DataFrame:
     """The last sidecar of every quarantined file."""
-    rows = spark.read.json(os.path.join(out, "quarantine"))
+    rows = read_sink(spark, out, "quarantine")
     return rows.groupBy("source_file").agg(
         F.max_by(F.struct(*[c for c in rows.columns if c != "source_file"]), "failed_at_utc").alias("s")
     ).select("source_file", "s.*")
 
 
-def read_silver(spark: SparkSession, out: str, batch_id: str) -> dict[str, DataFrame]:
-    """The extraction and mapping results of a batch, as they were written."""
-    return {
-        name: spark.read.parquet(os.path.join(out, "silver", name, f"batch_id={batch_id}"))
-        for name in ("summary_fields", "line_items", "documents", "mapped")
-    }
+SILVER = ("summary_fields", "line_items", "documents", "mapped")
+
+
+def read_silver(spark: SparkSession, out: str, batch_id: str | None = None, batch_date: str | None = None) -> dict[str, DataFrame]:
+    """The extraction and mapping results of a batch or of a date, as they were written."""
+    return {name: read_sink(spark, out, f"silver/{name}", batch_id, batch_date) for name in SILVER}
 
 
 def read_items(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame | None]:
-    """Gold items and tombstones written by earlier batches (Q1 inputs)."""
-    gold = spark.read.parquet(os.path.join(out, "gold"))
-    t = os.path.join(out, "tombstones")
-    stones = spark.read.parquet(t) if _exists(spark, t) else None
+    """Gold items and tombstones of committed batches (Q1 inputs)."""
+    stones = read_sink(spark, out, "tombstones")
     if stones is not None:
-        stones = L.latest_tombstones(stones)
-    return gold, stones
+        stones = L.latest_tombstones(stones.drop("batch_date"))
+    return read_sink(spark, out, "gold"), stones

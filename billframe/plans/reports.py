@@ -17,7 +17,7 @@ from billframe.operators.records import fx_audit as audited
 from billframe.plans import rendered as R
 from billframe.plans.catalog import M2, _attempts, _blocks, _expense, _okey
 from billframe.plans.oracle import _LINES, _TRUTH
-from billframe.plans.stages import stage_root
+from billframe.plans.stages import materialize, stage_root
 from billframe.session import configure
 from billframe.sources.envelopes import rendered_expense
 from billframe.sources.manifest import gate_rule
@@ -160,14 +160,17 @@ def vendor_keys(spark: SparkSession, sf: str) -> DataFrame:
     return M.vendor_keys(_printed(spark, sf)).select(_okey(), "vendor_key")
 
 
+def _learned(spark: SparkSession, sf: str) -> DataFrame:
+    """The model's payloads with the order of their invoices, written once."""
+    order = F.regexp_extract("source_file", r"invoice_(\d+)\.pdf", 1).cast("long")
+    return materialize(lambda: M.select_attempt(_attempts(spark, sf)).withColumn("load_order", order), "alias_learned", (sf,), spark=spark)
+
+
 def alias_apply(spark: SparkSession, sf: str) -> DataFrame:
     """Invoices whose payload is rebuilt from labels learned before. Vendors known too little and
     invoices without a required field are left to the model."""
     configure(spark)
-    learned = M.select_attempt(_attempts(spark, sf)).where("mapping_ok").withColumn(
-        "load_order", F.regexp_extract("source_file", r"invoice_(\d+)\.pdf", 1).cast("long"))
-    head, alias = M.learn_aliases(learned)
-    hits = M.apply_aliases(_printed(spark, sf), head, alias)
+    hits = M.apply_entries(_printed(spark, sf), M.learn_entries(_learned(spark, sf).where("mapping_ok")))
     return hits.select(
         _okey(), F.col("fields.company_name").alias("company_name"), F.col("fields.date").alias("date"),
         F.col("fields.invoice_reference_number").alias("reference"), F.col("fields.total_amount").alias("total_amount"),
@@ -175,6 +178,14 @@ def alias_apply(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def alias_apply_in_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch in which an invoice sees what the invoices before it taught; who went to the model."""
+    configure(spark)
+    learned = _learned(spark, sf)
+    routed = M.map_in_order(_printed(spark, sf), learned.drop("load_order"), learned.select("source_file", "load_order"))
+    return routed.select(_okey(), "mapping_ok", "source", "attempts", F.col("fields.invoice_reference_number").alias("reference"))
+
+
 def size_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The gates over a manifest with empty, oversized and headless files."""
     configure(spark)
@@ -239,7 +250,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         get_by_key, answer_sample, month_stats, flag_report, batch_outcomes, rule_counts, provenance, fx_audit,
-        load_history, page_counts, label_value_view, malformed_envelopes, vendor_keys, alias_apply, size_gate,
+        load_history, page_counts, label_value_view, malformed_envelopes, vendor_keys, alias_apply, alias_apply_in_batch, size_gate,
         size_gate_contents,
         document_messages, gold_jsonl, assembled_pages,
     )
@@ -309,6 +320,14 @@ SELECT o_orderkey, 'Acme Trading ' || CAST(o_orderkey % 200 AS VARCHAR) AS compa
   'vendor_alias_cache' AS source
 FROM orders WHERE o_orderkey % 5 <> 0
   AND o_orderkey % 200 IN (SELECT o_orderkey % 200 FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 2 = 0)""",
+    "alias_apply_in_batch": """
+WITH taught AS (SELECT o_orderkey % 200 AS v, min(o_orderkey) AS k FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 2 = 0 GROUP BY 1),
+h AS (
+  SELECT o_orderkey AS k, o_orderkey % 5 <> 0 AND coalesce(o_orderkey > t.k, FALSE) AS hit, o_orderkey % 9 <> 0 AS model
+  FROM orders LEFT JOIN taught AS t ON o_orderkey % 200 = t.v)
+SELECT k AS o_orderkey, hit OR model AS mapping_ok, CASE WHEN hit THEN 'vendor_alias_cache' ELSE 'bedrock' END AS source,
+  CASE WHEN hit THEN 0 WHEN model AND k % 3 = 0 THEN 2 WHEN model THEN 1 END AS attempts,
+  CASE WHEN hit OR model THEN 'INV/' || CAST(k AS VARCHAR) END AS reference FROM h""",
     "document_messages": _LINES + """
 SELECT o.k AS o_orderkey, 'AnalyzeExpense' AS extracted_by, 1 AS page_count, printf('%d.%02d', c // 100, c % 100) AS total, TRUE AS three_pairs,
   printf('%d.%02d', l.ac // 100, l.ac % 100) AS first_amount

@@ -1,8 +1,9 @@
 """File discovery, gates and batch identity.
 
 A listing (path, size, modification time) comes first - from a table if the
-caller keeps one, else from Spark's file index - and the size gate is decided
-on it. Only files within the limit are opened, for their header and digest.
+caller keeps one, else from the ``file_manifest`` source - and date, limit,
+micro-batch and size gate are decided on it. Only the files chosen and within
+the limit are opened, once, for their header and digest.
 """
 
 from __future__ import annotations
@@ -14,11 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billframe.config import EXTRACTION_ERROR, MAX_DOCUMENT_SIZE_BYTES
-
-MANIFEST_SCHEMA = (
-    "path string, filename string, size_bytes bigint, modified_utc timestamp, "
-    "has_pdf_magic boolean, sha256 string"
-)
+from billframe.sources import manifest_source as S
 
 
 def _path_exists(spark: SparkSession, root: str) -> bool:
@@ -68,7 +65,7 @@ def document_key(relative: Column) -> Column:
 
     Captured results carry it too, with a suffix for their kind.
     """
-    return F.concat(F.regexp_replace(relative, r"(?i)(\.blocks|\.mapped|\.attempt\d+)?\.(json|pdf)$", ""), F.lit(".pdf"))
+    return F.concat(F.regexp_replace(relative, r"(?i)(\.blocks|\.mapped|\.attempt\d+)?(\.page[a-z0-9_-]*)?\.(json|pdf)$", ""), F.lit(".pdf"))
 
 
 def _described(files: DataFrame) -> list[Column]:
@@ -80,34 +77,60 @@ def _described(files: DataFrame) -> list[Column]:
     ]
 
 
-def discover_files(spark: SparkSession, root: str, with_sha256: bool = True, listing: DataFrame | None = None) -> DataFrame:
-    """A1-A3: manifest of every ``.pdf`` under root; a missing root yields an empty one.
+def _listed_by_spark(spark: SparkSession, root: str) -> DataFrame:
+    """Listing of a store that only Spark can open: its file index, and the empty files it leaves out."""
+    columns = ["path", "length", "modificationTime"]
+    if not _path_exists(spark, root):
+        return spark.createDataFrame([], S.LISTING_SCHEMA)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.[pP][dD][fF]").load(root).select(*columns))
+    empty = spark.createDataFrame(_empty_files(spark, root), "path string, mtime long").select(
+        "path", F.lit(0).cast("bigint").alias("length"), F.timestamp_millis("mtime").alias("modificationTime"))
+    return files.unionByName(empty)
+
+
+def list_files(spark: SparkSession, root: str, listing: DataFrame | None = None, only: DataFrame | None = None,
+               limit: int | None = None) -> DataFrame:
+    """The ``.pdf`` files under root (path, filename, size_bytes, modified_utc); none is opened.
 
-    ``listing`` (path, length, modificationTime) replaces the walk for empty
-    files; its rows outside root and other than ``.pdf`` do not count. Files beyond the size limit come from metadata alone: their rows
-    have no header test and no digest, and their contents are never read.
+    ``listing`` (path, length, modificationTime) replaces the walk of the tree;
+    its rows outside root and other than ``.pdf`` do not count. ``only``: the
+    files with these paths; ``limit``: the first so many of them in path order.
     """
-    if not _path_exists(spark, root):
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", "*.[pP][dD][fF]").load(root))
-    small = raw.where(F.col("length") <= MAX_DOCUMENT_SIZE_BYTES)
-    files = small.select(
-        *_described(small),
-        (F.substring("content", 1, 5) == F.lit(bytearray(b"%PDF-"))).alias("has_pdf_magic"),
-        (F.sha2("content", 256) if with_sha256 else F.lit(None).cast("string")).alias("sha256"),
-    )
-    none = [F.lit(None).cast("boolean").alias("has_pdf_magic"), F.lit(None).cast("string").alias("sha256")]
-    large = raw.select("path", "length", "modificationTime").where(F.col("length") > MAX_DOCUMENT_SIZE_BYTES)
-    files = files.unionByName(large.select(*_described(large), *none))
     if listing is not None:
         below = F.regexp_replace("path", _SCHEME, "/").startswith(_base(spark, root) + "/")
-        empty = listing.where((F.col("length") == 0) & below & F.lower("path").endswith(".pdf")).select("path", "length", "modificationTime")
+        found = listing.where(below & F.lower("path").endswith(".pdf")).select("path", "length", "modificationTime")
     else:
-        empty = spark.createDataFrame(_empty_files(spark, root), "path string, mtime long").select(
-            "path", F.lit(0).cast("bigint").alias("length"), F.timestamp_millis("mtime").alias("modificationTime"))
-    return files.unionByName(empty.select(
-        *_described(empty), F.lit(False).alias("has_pdf_magic"), F.sha2(F.lit(b"").cast("binary"), 256).alias("sha256")))
+        found = S.listed(spark, root) if S.readable(root) else _listed_by_spark(spark, root)
+    if only is not None:
+        name = F.regexp_replace("path", _SCHEME, "/")
+        wanted = only.select(name.alias("_name")).distinct()
+        found = found.withColumn("_name", name).join(wanted, "_name", "left_semi").drop("_name")
+    return limit_batch(found.select(*_described(found)), limit)
+
+
+def with_headers(spark: SparkSession, files: DataFrame, root: str, with_sha256: bool = True, opener=None) -> DataFrame:
+    """A2, A3: header test and digest of chosen files (see ``manifest_source.looked_into``)."""
+    if opener is not None or S.readable(root):
+        return S.looked_into(files, with_sha256, opener)
+    # A store that only Spark can open: whole contents, of the files that pass the size gate.
+    contents = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][dD][fF]")
+                .load(root).where(F.col("length") <= MAX_DOCUMENT_SIZE_BYTES))
+    magic = F.substring("content", 1, 5) == F.lit(bytearray(S.PDF_MAGIC))
+    seen = contents.select(
+        F.col("path").alias("_path"), magic.alias("has_pdf_magic"),
+        (F.when(magic, F.sha2("content", 256)) if with_sha256 else F.lit(None).cast("string")).alias("sha256"))
+    return files.join(seen, F.col("path") == F.col("_path"), "left").drop("_path")
+
+
+def discover_files(spark: SparkSession, root: str, with_sha256: bool = True, listing: DataFrame | None = None,
+                   only: DataFrame | None = None, limit: int | None = None, opener=None) -> DataFrame:
+    """A1-A3: manifest of the chosen ``.pdf`` files under root; a missing root yields an empty one.
+
+    Choice comes before any file is opened. Oversized files are never opened
+    (no header test), empty ones fail it; only files with the header have a digest.
+    """
+    return with_headers(spark, list_files(spark, root, listing, only, limit), root, with_sha256, opener)
 
 
 def path_order(path: Column) -> Column:

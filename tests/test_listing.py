@@ -1,4 +1,4 @@
-"""A batch that is given a listing finds its empty files there, without a walk of the tree."""
+"""A batch that is given a listing takes its files from there, without a walk of the tree."""
 
 import datetime
 import os
@@ -19,7 +19,7 @@ def test_batch_takes_empty_files_from_the_listing(spark, tmp_path, monkeypatch):
     def walk(*_):
         raise AssertionError("the tree was walked")
 
-    monkeypatch.setattr(manifest, "_empty_files", walk)
+    monkeypatch.setattr(manifest.S, "listed", walk)
     got = run_batch(spark, paths, batch_id="listed", settings=Settings(fx_rates=dict(TEST_RATES)), listing=listing)
     void = [r for r in got["records"].collect() if "void" in r["source_file"]]
     assert [(r["source_file"], r["hard_rule"]) for r in void] == [("void.pdf", "EXTRACTION_FAILED")]

@@ -12,7 +12,10 @@ Realisation: with a budget of tokens a source gets floor(weight * budget)
 tokens. It is passed over in blocks; each block is a permutation of the
 source's documents by a hash of id, block and seed. Whole blocks are followed
 by the documents of one more whose running sum stays within the rest of the
-budget. ``progress`` is the place of a document in its source's budget;
+budget; with ``filled``, by documents until the rest is reached, those longer
+than the rest standing last in that block. Then a source misses its budget by
+no more than the longest document it gives: one giant text cannot use up or
+bar the rest of a small source. ``progress`` is the place of a document in its source's budget;
 ordering the mixture by it blends the sources at the target weights
 throughout.
 
@@ -114,6 +117,7 @@ def mixture(
     max_repeats: float = MAX_REPEATS,
     budget: float = BUDGET,
     seed: int = SEED,
+    filled: bool = False,
 ) -> DataFrame:
     """doc_id, source, block, n_tokens, progress of every document in every block it is taken in."""
     counted = write_stage(sized(docs), "mix-sizes")
@@ -121,20 +125,24 @@ def mixture(
         F.col("source").alias("of"), "tokens", "budget", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     )
     rows = counted.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    hashed = place(F.col("block"), seed)
+    if filled:  # 'g' stands behind all hexadecimal digits
+        rest = F.col("budget") - F.col("block") * F.col("tokens")
+        hashed = F.when(F.col("n_tokens") > rest, F.concat(F.lit("g"), hashed)).otherwise(hashed)
     blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("budget") - 1) / F.col("tokens")))
     dealt = (
         rows.join(per_source, rows["source"].eqNullSafe(per_source["of"]) & (rows["salt"] == per_source["salt"]))
         .where("budget > 0")
         .select("doc_id", "source", "n_tokens", "tokens", "budget", F.explode(blocks).alias("block"))
-        .withColumn("place", place(F.col("block"), seed))
+        .withColumn("place", hashed)
         .withColumn("bucket", F.substring("place", 1, 3))
         .withColumn("group", F.coalesce("source", F.lit("\x00")))
     )
     dealt = write_stage(dealt, "mix-dealt")
-    return _placed(dealt)
+    return _placed(dealt, filled)
 
 
-def _placed(dealt: DataFrame) -> DataFrame:
+def _placed(dealt: DataFrame, filled: bool) -> DataFrame:
     from pyspark.sql import Window
 
     key = ["group", "block", "bucket"]
@@ -145,11 +153,12 @@ def _placed(dealt: DataFrame) -> DataFrame:
     peers = F.sum("n_tokens").over(Window.partitionBy(*key, "place"))
     upto = F.col("before") + F.col("within")
     offset = F.col("block") * F.col("tokens")
+    taken = offset + upto - F.col("peers") < F.col("budget") if filled else offset + upto <= F.col("budget")
     return (
         dealt.join(sums.select(*key, before.alias("before")), key)
         .withColumn("within", within)
         .withColumn("peers", peers)
-        .where(offset + upto <= F.col("budget"))
+        .where(taken)
         .select(
             "doc_id", "source", F.col("block").cast("int").alias("block"), "n_tokens",
             ((offset + upto - F.col("peers")) / F.col("budget")).alias("progress"),
@@ -196,3 +205,8 @@ SELECT doc_id, source, CAST(block AS INT) AS block, n_tokens,
   CAST(block * tokens + upto - peers AS DOUBLE) / budget AS progress
 FROM placed WHERE block * tokens + upto <= budget
 """
+
+#: The same for ``filled``.
+SQL_FILLED = SQL.replace(
+    "    md5(concat_ws('-',", "    CASE WHEN d.n_tokens > budget - block * tokens THEN 'g' ELSE '' END || md5(concat_ws('-',"
+).replace("WHERE block * tokens + upto <= budget", "WHERE block * tokens + upto - peers < budget")

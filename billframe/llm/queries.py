@@ -104,6 +104,11 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixture(table(spark, sf_dir, "documents"))
 
 
+def op8_mixture_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same mixture with every source's budget filled up to its longest document."""
+    return mixture.mixture(table(spark, sf_dir, "documents"), filled=True)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs, items = table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -146,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
     "op8_mixture": op8_mixture,
+    "op8_mixture_filled": op8_mixture_filled,
     "op9_decontamination": op9_decontamination,
     "op10_main_text": op10_main_text,
     "op11_periodic_runs": op11_periodic_runs,
@@ -158,6 +164,7 @@ ORACLE: dict[str, str] = {
     "op2_quality_rules": quality_rules.SQL,
     "op7_line_dedup": line_dedup.SQL.format(documents="documents"),
     "op8_mixture": mixture.SQL.format(documents="documents"),
+    "op8_mixture_filled": mixture.SQL_FILLED.format(documents="documents"),
     "op9_decontamination": decontaminate.SQL,
     "op13_vector_codes": vector_codes.sql(),
 }

@@ -451,6 +451,25 @@ def test_mixture_meets_its_budgets(docs, rows, empty):
     assert whole and mixture.mixture(empty).count() == 0
 
 
+def test_filled_mixture_reaches_its_budgets(spark, docs, rows, empty):
+    giant = [(9000, "giant " * 900, "en", "small", 1)] + [(9001 + i, "a b c d e", "en", "small", 1) for i in range(20)]
+    giant += [(9100 + i, "many words of a large source " * 5, "en", "large", 1) for i in range(60)]
+    frames = [docs.select(*empty.columns), spark.createDataFrame(giant, empty.schema)]
+    for frame, budget in ((frames[0], 1.0), (frames[1], 0.3), (frames[1], 0.05), (frames[0].union(frames[1]), 0.7)):
+        wanted = {r.source: r.budget for r in mixture.weights(mixture.sized(frame), budget=budget).collect()}
+        taken = mixture.mixture(frame, budget=budget, filled=True).collect()
+        copies = collections.Counter((r.doc_id, r.source, r.block) for r in taken)
+        used, longest = collections.Counter(), collections.Counter()
+        for r in taken:
+            used[r.source] += r.n_tokens
+            longest[r.source] = max(longest[r.source], r.n_tokens * copies[r.doc_id, r.source, r.block])
+        for s, n in wanted.items():
+            assert n <= used[s] < n + max(1, longest[s]), (s, n, used[s])
+    small = [r for r in mixture.mixture(frames[1], budget=0.05, filled=True).collect() if r.source == "small"]
+    assert small and all(r.doc_id != 9000 for r in small)
+    assert mixture.mixture(empty, filled=True).count() == 0
+
+
 def test_temperature_search(spark):
     shares = spark.createDataFrame([(x / 100,) for x in (70, 20, 9, 1)], "p double")
 

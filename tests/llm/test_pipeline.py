@@ -53,7 +53,7 @@ def test_stages_equal_brute_force(spark):
     assert bag(given[4]) == bag(clean)
 
     kept_docs = frames[4].toPandas()  # noqa: F841 (read by the SQL below)
-    expected = duckdb.sql(mixture.SQL.format(documents="kept_docs")).fetchall()
+    expected = duckdb.sql(mixture.SQL_FILLED.format(documents="kept_docs")).fetchall()
     assert bag((r.doc_id, r.source, r.block, r.n_tokens, round(r.progress, 9)) for r in frames[5].collect()) == bag(
         (a, b, c, d, round(e, 9)) for a, b, c, d, e in expected)
 

@@ -38,7 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mixture: doc_id, source, block, n_tokens, progress, one row for each use of a document."""
-    return mixture.mixture(docs.select(*DOCUMENT_COLUMNS))
+    return mixture.mixture(docs.select(*DOCUMENT_COLUMNS), filled=True)
 
 
 STAGES = [

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed for the life of an index.
-BUCKETS = 256
+BUCKETS = 64
 
 
 def key_bucket(key: Column) -> Column:

@@ -34,6 +34,14 @@ def with_keys(records: DataFrame) -> DataFrame:
     ).drop("_ref_key")
 
 
+def folded_to_nothing(records: DataFrame) -> DataFrame:
+    """K1: (kind, n): vendors and references whose key has no letter or digit, so that they share one key."""
+    counts = with_keys(records).agg(
+        F.count_if(F.col("vendor_key") == "").alias("vendors"), F.count_if(F.col("SK") == "INVOICE#").alias("references"))
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(k).alias("n")) for k in ("vendors", "references")])).alias("c")).select("c.*")
+
+
 def first_write_wins(
     records: DataFrame,
     history: DataFrame | None = None,

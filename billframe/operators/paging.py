@@ -91,7 +91,10 @@ def joined_bodies(pages: DataFrame, items_field: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count(_token(F.col("token"))).alias("asked"), F.count(_token(F.col("next_token"))).alias("more"))
     alone = (F.col("n") == 1) & (F.col("asked") == 0) & (F.col("more") == 0)
     single = pages.join(counted.where(alone).select("source_file"), "source_file", "left_semi")
+    single = single.select("source_file", "body", F.lit(None).cast("string").alias("chain_error"))
     many = pages.join(counted.where(~alone).select("source_file"), "source_file", "left_semi")
+    if many.isEmpty():
+        return single
     ordered = chain_order(many)
     items = F.regexp_replace(F.get_json_object("body", f"$.{items_field}"), r"^\s*\[\s*|\s*\]\s*$", "")
     agg = ordered.groupBy("source_file").agg(
@@ -102,4 +105,4 @@ def joined_bodies(pages: DataFrame, items_field: str) -> DataFrame:
     whole = F.concat(F.lit('{"JobStatus":"'), status, F.lit(f'","{items_field}":['), listed, F.lit("]}"))
     ok = F.col("chain_error").isNull() & status.isin(*FINISHED)
     joined = agg.select("source_file", F.when(ok, whole).alias("body"), F.coalesce("chain_error", F.when(~ok, status)).alias("chain_error"))
-    return single.select("source_file", "body", F.lit(None).cast("string").alias("chain_error")).unionByName(joined)
+    return single.unionByName(joined)

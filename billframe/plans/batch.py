@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from billframe.config import DEFAULT_SETTINGS, EXTRACTION_ERROR, MAPPING_ERROR, Settings
 from billframe.operators import extract as X
 from billframe.operators import load as L
+from billframe.operators import merged_stats
 from billframe.operators import mapping as M
 from billframe.operators import paging as P
 from billframe.operators.fx import fx_table
 from billframe.operators.key_index import index_rows
+from billframe.operators.query import scan_all
 from billframe.operators.records import build_records
 from billframe.plans.commits import Run, exists, live, read_sink
 from billframe.plans.stages import materialize
@@ -53,7 +55,7 @@ class BatchPaths:
     raw: str            # PDFs (read-only)
     ocr: str            # <path>[.page<any>].json expense envelopes, <path>.blocks[.page<any>].json block envelopes
     model: str          # <path>.mapped.json tool inputs or <path>.attempt<N>.json responses
-    out: str            # gold/, gold_keys/, tombstones/, quarantine/, silver/, outcomes/, classified/, alias/, _commits/
+    out: str            # gold/, gold_keys/, tombstones/, quarantine/, silver/, outcomes/, classified/, stats/, alias/, _commits/
 
 
 def _of_day(spark: SparkSession, folder: str, batch_date: _dt.date | None) -> DataFrame:
@@ -165,12 +167,14 @@ def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str | None = Non
     gold = L.gold_items(classified, batch_id, now)
     sinks.write(gold, "gold", partition_by=["month"])
     sinks.write(index_rows(gold), "gold_keys", partition_by=["bucket"])
-    sinks.write(L.tombstones(classified, batch_id, now), "tombstones")
+    stones = sinks.write(L.tombstones(classified, batch_id, now), "tombstones")
     sidecars = L.quarantine_sidecars(classified, payloads.select(
         "source_file", F.to_json(F.struct("fields", "source_labels", "unmapped_metadata")).alias("raw_mapped_payload")),
         batch_id, now)
     sinks.write(sidecars, "quarantine", "json")
-    sinks.write(L.outcomes(classified), "outcomes")
+    outcomes = sinks.write(L.outcomes(classified), "outcomes")
+    # Counters of this batch alone; reports add them up and never read the store.
+    sinks.write(merged_stats.partial(scan_all(gold, stones), outcomes), "stats")
     # Learn aliases from this batch's model payloads for later batches.
     learn_src = classified.select("source_file", "load_order").join(payloads.where(F.col("source") == "bedrock"), "source_file")
     sinks.write(M.learn_entries(learn_src).withColumn("learned_at", F.lit(now)), "alias")
@@ -212,6 +216,12 @@ def read_silver(spark: SparkSession, out: str, batch_id: str | None = None, batc
     return {name: read_sink(spark, out, f"silver/{name}", batch_id, batch_date) for name in SILVER}
 
 
+def read_stats(spark: SparkSession, out: str, year_month: str | None = None) -> DataFrame | None:
+    """The counters of all committed batches (metric, key, n, amount), or of one month's records."""
+    partials = read_sink(spark, out, "stats")
+    return None if partials is None else merged_stats.merged(partials, year_month)
+
+
 def read_items(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame | None]:
     """Gold items and tombstones of committed batches (Q1 inputs)."""
     stones = read_sink(spark, out, "tombstones")

@@ -6,9 +6,10 @@ import tempfile
 from decimal import Decimal
 
 from billframe.config import Settings
+from billframe.operators import merged_stats as S
 from billframe.operators import query as Q
 from billframe.operators import stats as T
-from billframe.plans.batch import BatchPaths, latest_sidecars, read_items, read_silver, run_batch
+from billframe.plans.batch import BatchPaths, latest_sidecars, read_items, read_silver, read_stats, run_batch
 from tests.golden import TEST_RATES, write_batch
 
 SETTINGS = Settings(fx_rates=dict(TEST_RATES))
@@ -48,6 +49,16 @@ def test_golden_batch_and_rerun(spark):
     assert {k: n for k, n in b.items() if k[0] == "by_original_currency"} == {
         ("by_original_currency", "GBP"): 2, ("by_original_currency", "INR"): 3, ("by_original_currency", "USD"): 1}
     assert b[("by_month", "2023-11")] == 1
+    # the same from the counters that the batch left
+    stats = read_stats(spark, paths.out).collect()
+    merged = {(r["metric"], r["key"]): r["n"] for r in stats}
+    assert {k: n for k, n in merged.items() if not k[0].startswith(("outcome", "kind"))} == b
+    assert {k[1]: n for k, n in merged.items() if k[0] == "outcome"} == _counts(res)
+    assert merged[("outcome_flag", "LOW_FIELD_CONFIDENCE")] == 1
+    totals = spark.createDataFrame(stats, "metric string, key string, n long, amount decimal(28,8)")
+    assert S.summary(totals).collect() == T.summary(items).collect()
+    march = {(r["metric"], r["key"]): r["n"] for r in read_stats(spark, paths.out, "2024-03").collect()}
+    assert march[("by_month", "2024-03")] == 1 and march[("kind", "record")] == 1 and ("kind", "tombstone") not in march
     g = {r["source_file"]: r for r in gold.collect()}
     assert g["ridge.pdf"]["total_amount"] == Decimal("25.00")
     assert g["willow.pdf"]["coupon_discount_amount"] == Decimal("1.00")
@@ -71,6 +82,8 @@ def test_golden_batch_and_rerun(spark):
     by_alias = {r["source_file"] for r in read_silver(spark, paths.out, SECOND[0])["mapped"].collect() if r["source"] == "vendor_alias_cache"}
     assert by_alias == set(out) - {"north.pdf"}  # whose printed date label is not the one cited
     assert [r["failed_at_utc"] for r in latest_sidecars(spark, paths.out).collect()] == [SECOND[1]]
+    twice = {(r["metric"], r["key"]): r["n"] for r in read_stats(spark, paths.out).collect()}
+    assert (twice[("kind", "record")], twice[("kind", "tombstone")], twice[("outcome", "DUPLICATE_SKIPPED")]) == (6, 2, 6)
     month = Q.run_query(*read_items(spark, paths.out), {"operation": "query_month", "year_month": "2023-11",
                                                          "aggregation": "count"}).collect()[0]
     assert month["matched"] == 1

@@ -49,6 +49,8 @@ FREQUENT = 2**-16
 #: Distinct words that a task holds before it passes its counts on.
 HELD_WORDS = 400_000
 LOG10 = math.log(10)
+#: Characters of a word up to which its arcs are kept for the way back.
+KEPT_ARCS = 1 << 14
 
 
 class Lattice:
@@ -66,6 +68,7 @@ class Lattice:
         self.table |= self.lp
         self.arc = {p: None if x is None else (math.exp(x), self.ids[p]) for p, x in self.table.items()}
         self.spelled = [self.lp[f"<0x{b:02X}>"] for b in range(256)]
+        self.longest = max(map(len, pieces))
 
     def by_bytes(self, ch: str) -> float:
         """Log probability of a character spelled in bytes, for those that are no piece."""
@@ -103,45 +106,53 @@ class Lattice:
     def expect(self, word: str, weight: float, counts: list[float]) -> None:
         """Add the expected uses of every piece in ``weight`` occurrences of a word.
 
-        Forward in plain probabilities, each position's sum divided by the one
-        before it, which keeps long words in range; then the mass flows back.
+        Forward in plain probabilities, the positions within a piece's reach scaled
+        up whenever they get small, which keeps long words in range; then the mass
+        flows back. Very long words find their arcs a second time on the way
+        back instead of keeping them.
         """
         text = MARK + word
         n = len(text)
-        find = self.arc.get
+        find, longest = self.arc.get, self.longest
+        keep = n <= KEPT_ARCS
         alpha = [0.0] * (n + 1)
         alpha[0] = 1.0
         arcs = []
-        low = 0  # alpha from here on is scaled up whenever it gets small
+        scales: dict[int, float] = {}
         for i in range(n):
             a = alpha[i]
             if a < 1e-200:
-                top = max(alpha[low + 1 :], default=0.0) or 1.0
-                for k in range(n + 1):
-                    alpha[k] /= top if k >= i else 1.0
-                arcs.append((i, i, top, -1))
-                a, low = alpha[i], i
+                reach = min(n, i + longest) + 1
+                top = max(alpha[i:reach]) or 1.0
+                for k in range(i, reach):
+                    alpha[k] /= top
+                scales[i] = top
+                a = alpha[i]
             j = i + 1
             got = find(text[i], False)
             if not got:  # no piece of one character: spell it
                 p = math.exp(self.by_bytes(text[i]))
                 alpha[j] += a * p
-                arcs.append((i, j, p, -2))
+                if keep:
+                    arcs.append((i, j, p, -2))
             while got is not False:
                 if got is not None:
                     alpha[j] += a * got[0]
-                    arcs.append((i, j, got[0], got[1]))
+                    if keep:
+                        arcs.append((i, j, got[0], got[1]))
                 j += 1
                 if j > n:
                     break
                 got = find(text[i:j], False)
         mass = [0.0] * (n + 1)
         mass[n] = weight
-        for i, j, p, piece in reversed(arcs):
-            if piece == -1:
-                for k in range(i, n + 1):
-                    alpha[k] *= p
-                continue
+        last = n
+        for i, j, p, piece in reversed(arcs) if keep else self._arcs_back(text):
+            while last > i:  # positions behind a scaling are compared with those before it no more
+                if last in scales:
+                    for k in range(last, min(n, last + longest) + 1):
+                        alpha[k] *= scales[last]
+                last -= 1
             m = mass[j]
             if m and alpha[j]:
                 part = m * alpha[i] * p / alpha[j]
@@ -152,6 +163,22 @@ class Lattice:
                     for b in text[i].encode("utf-8"):
                         counts[self.ids[f"<0x{b:02X}>"]] += part
 
+    def _arcs_back(self, text: str):
+        """The arcs (from, to, probability, piece; -2 for a spelled character) of a text, last position first."""
+        find, n = self.arc.get, len(text)
+        for i in range(n - 1, -1, -1):
+            got = find(text[i], False)
+            if not got:
+                yield i, i + 1, math.exp(self.by_bytes(text[i])), -2
+            j = i + 1
+            while got is not False:
+                if got is not None:
+                    yield i, j, got[0], got[1]
+                j += 1
+                if j > n:
+                    break
+                got = find(text[i:j], False)
+
 
 def vocabulary(model_file: str) -> tuple[list[str], np.ndarray]:
     """Pieces of an existing subword model and their first probabilities, Zipf's law on their rank."""

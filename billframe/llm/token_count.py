@@ -425,6 +425,17 @@ def prefix_scan(machine: Transducer, maps: list[tuple]) -> list[tuple]:
     return out
 
 
+def total(machine: Transducer, maps: list[tuple]) -> tuple:
+    """The last of the prefixes alone, by the scan's up-sweep: neighbouring pairs until one map is left.
+
+    Chunks without a place that synchronises keep their text; no level holds it twice.
+    """
+    while len(maps) > 1:
+        pairs = [compose(machine, maps[i], maps[i + 1]) for i in range(0, len(maps) - 1, 2)]
+        maps = pairs + maps[len(pairs) * 2 :]
+    return maps[0]
+
+
 def finish(machine: Transducer, whole: tuple) -> int:
     """The count of a text from the state map of all its chunks."""
     state, n = machine.run(machine.state(("B",)), whole[0])
@@ -508,8 +519,7 @@ def _long_counts(base: DataFrame, tokenizer: str, chunk_chars: int) -> DataFrame
         def work(rows: list[list[dict]]) -> list[list]:
             out = []
             for r in rows:
-                scanned = prefix_scan(machine, [(m["head"], m["n"], m["tail"]) for m in r])
-                out.append(finish(machine, scanned[-1]))
+                out.append(finish(machine, total(machine, [(m["head"], m["n"], m["tail"]) for m in r])))
             return [out]
 
         return work

@@ -271,3 +271,50 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+#: The contract in DuckDB: contexts of six words joined with their earlier occurrences, stretches of
+#: consecutive words at one lag, the smallest lag of equal ends.
+SQL = r"""
+WITH hashed AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS given,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])),
+        lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS h
+  FROM documents
+),
+parted AS (
+  SELECT row, doc_id, given, len(given) AS n, h, h // 10 AS g,
+    CASE WHEN len(given) > 0 THEN (h // 10) % len(given) END AS a FROM hashed
+),
+texts AS MATERIALIZED (
+  SELECT row, doc_id, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: CASE WHEN i >= a THEN given[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] ELSE given[i + 1] END)
+    ELSE given END AS ws FROM parted
+),
+words AS MATERIALIZED (SELECT row, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM texts),
+contexts AS (
+  SELECT row, i, i0, c FROM (
+    SELECT row, i, min(i) OVER six AS i0, string_agg(w, ' ') OVER six AS c FROM words
+    WINDOW six AS (PARTITION BY row ORDER BY i ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)) AS t
+  WHERE i0 = i - 5
+),
+cells AS (SELECT x.row, x.i, x.i - y.i AS q FROM contexts AS x JOIN contexts AS y ON x.row = y.row AND x.c = y.c AND y.i < x.i),
+stretches AS (
+  SELECT row, q, min(i) - 5 - q AS start, count(*) + 5 + q AS length
+  FROM (SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM cells) AS t
+  GROUP BY row, q, island HAVING count(*) + 5 >= q AND count(*) + 5 + q >= 12
+),
+runs AS MATERIALIZED (SELECT row, start, length, min(q) AS period FROM stretches GROUP BY row, start, length),
+dropped AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT row, string_agg(w, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (row, i) GROUP BY row
+),
+listed AS (
+  SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    min({'l': -length, 's': start, 'p': period}) AS top FROM runs GROUP BY row
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, -top.l AS length, top.p AS period,
+  1000 * -top.l // top.p AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (row) LEFT JOIN kept USING (row)
+"""

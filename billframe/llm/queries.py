@@ -166,5 +166,6 @@ ORACLE: dict[str, str] = {
     "op8_mixture": mixture.SQL.format(documents="documents"),
     "op8_mixture_filled": mixture.SQL_FILLED.format(documents="documents"),
     "op9_decontamination": decontaminate.SQL,
+    "op11_periodic_runs": periodic_runs.SQL,
     "op13_vector_codes": vector_codes.sql(),
 }

@@ -360,3 +360,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
 FROM measured
 """
+
+_STEPS = ", ".join(f"({i}, '{m}', {float(c)!r})" for i, (m, c) in enumerate(SEQUENCE))
+
+#: The joint verdict in DuckDB: the same counts, then the step of the nested sets from which a text is rejected.
+SQL_JOINT = SQL[: SQL.index("ladder AS (")] + rf"""steps(i, metric, cutoff) AS (VALUES {_STEPS}),
+firsts AS (SELECT doc_id, min(i) AS first FROM long JOIN steps USING (metric) WHERE x > cutoff GROUP BY doc_id),
+goods AS (
+  SELECT m.doc_id, lang, first FROM measured AS m LEFT JOIN firsts AS f ON m.doc_id = f.doc_id
+  WHERE NOT base_failed AND m.doc_id IN (SELECT doc_id FROM good)
+),
+sets AS (SELECT lang, i, count(*) AS n, count(*) FILTER (first <= i) AS k FROM goods, (SELECT i FROM steps) AS s GROUP BY lang, i),
+certified AS (
+  SELECT lang, max(i) AS last FROM sets
+  WHERE k < n * {RISK} AND
+    (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}) + (n - j) * ln(1 - {RISK})))
+     FROM unnest(range(0, k + 1)) AS u(j))
+    <= {DELTA} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM goods))
+  GROUP BY lang
+)
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(first > last, TRUE) AS kept
+FROM measured AS m LEFT JOIN firsts AS f ON m.doc_id = f.doc_id LEFT JOIN certified AS c ON m.lang IS NOT DISTINCT FROM c.lang
+"""

@@ -162,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL where SQL can express the operator.
 ORACLE: dict[str, str] = {
     "op2_quality_rules": quality_rules.SQL,
+    "op2_quality_rules_joint": quality_rules.SQL_JOINT,
     "op7_line_dedup": line_dedup.SQL.format(documents="documents"),
     "op8_mixture": mixture.SQL.format(documents="documents"),
     "op8_mixture_filled": mixture.SQL_FILLED.format(documents="documents"),

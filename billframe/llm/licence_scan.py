@@ -30,8 +30,11 @@ in BSD-3-Clause, GPL-3.0 in texts derived from it); containment tells them apart
 Scale: texts are scanned where they lie, without a shuffle; templates are
 configuration, read from a table whose size is checked.
 
-Edge cases: NULL and empty texts and texts under five words match nothing;
-templates under five words, empty or NULL ones are left out; templates that
+Templates of three and four words have no shingle; they are looked up whole, as
+sequences of words, and reported with containment 1.
+
+Edge cases: NULL and empty texts and texts under three words match nothing;
+templates under three words, empty or NULL ones are left out; templates that
 repeat a name are all searched and reported under it; texts are read whole.
 """
 
@@ -45,6 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billframe.llm.common import kept_in_worker, map_texts, narrow
+from billframe.llm.licence_templates import BRIEF
 from billframe.llm.licence_templates import templates as public_templates
 
 SHINGLE, CONTAINMENT = 5, 0.8
@@ -134,13 +138,13 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_hashes(h: np.ndarray) -> np.ndarray:
+def shingle_hashes(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Hashes of the shingles, from those of the words."""
-    n = len(h) - SHINGLE + 1
+    n = len(h) - size + 1
     if n < 1:
         return np.empty(0, dtype=np.uint64)
     total = np.zeros(n, dtype=np.uint64)
-    for k in range(SHINGLE):
+    for k in range(size):
         total += h[k : k + n] * _PLACE[k]
     return _mix(total)
 
@@ -162,8 +166,13 @@ class Scanner:
         self.least: dict[int, int] = {}  # shingles of the smallest template of a grade
         self.small: dict[int, list[tuple[int, int]]] = {}
         self.small_bits = np.zeros(1 << TABLE_BITS, dtype=bool)
+        self.brief: dict[tuple, list[str]] = {}
+        self.brief_bits = {n: np.zeros(1 << TABLE_BITS, dtype=bool) for n in range(BRIEF, SHINGLE)}
         for name, raw in templates:
             ws, h = word_hashes(raw)
+            if len(ws) in self.brief_bits:
+                self.brief.setdefault(tuple(ws), []).append(name)
+                self.brief_bits[len(ws)][int(shingle_hashes(h, len(ws))[0] & _TABLE)] = True
             sh = shingle_hashes(h)
             if not len(sh):
                 continue
@@ -256,12 +265,28 @@ class Scanner:
         for i in range(0, len(texts), 64):
             hashed = [word_hashes(x) for x in texts[i : i + 64]]
             shingles = [shingle_hashes(h) for _, h in hashed]
-            out += [self.verified(ws, c) for (ws, _), c in zip(hashed, self.candidates(shingles), strict=True)]
+            noted = self.noted(hashed)
+            out += [self.verified(ws, c, b) for (ws, _), c, b in zip(hashed, self.candidates(shingles), noted, strict=True)]
         return out
 
-    def verified(self, ws: list[bytes], candidates: set[tuple[int, int, int]]) -> list[dict]:
-        """The candidates of one text whose widened window contains the template."""
+    def noted(self, hashed: list[tuple[list[bytes], np.ndarray]]) -> list[list[tuple[str, int, int]]]:
+        """(name, first word, last word) of the brief notices of each text."""
+        found: list[list[tuple[str, int, int]]] = [[] for _ in hashed]
+        ends = np.cumsum([len(h) for _, h in hashed])
+        flat = np.concatenate([h for _, h in hashed])
+        for n, bits in self.brief_bits.items():
+            for at in np.flatnonzero(bits[(shingle_hashes(flat, n) & _TABLE).view(np.int64)]).tolist():
+                doc = int(np.searchsorted(ends, at, side="right"))
+                ws = hashed[doc][0]
+                i = at - int(ends[doc]) + len(ws)
+                found[doc] += [(name, i, i + n - 1) for name in self.brief.get(tuple(ws[i : i + n]), ())]
+        return found
+
+    def verified(self, ws: list[bytes], candidates: set[tuple[int, int, int]], noted: list[tuple[str, int, int]]) -> list[dict]:
+        """The candidates of one text whose widened window contains the template, and its brief notices."""
         spans: dict[str, list] = {}
+        for name, first, last in noted:
+            spans.setdefault(name, []).append((first, last, 1.0))
         n = len(ws) - SHINGLE + 1
         for size, w, t in sorted(candidates):
             name, wanted = self.templates[t]

@@ -168,6 +168,24 @@ def announcements() -> list[tuple[str, str]]:
     return list(found)
 
 
+#: Words of the least brief notice.
+BRIEF = 3
+
+
+def brief() -> list[tuple[str, str]]:
+    """Notices too short for a shingle, of BRIEF to LEAST - 1 words, which are looked up whole: SPDX lines of
+    one-word names, "license:" or "licensed under" before a short name, and two licences named together."""
+    ids = [*_NAMES, *(f"{k}-{v}" for k, (_, _, vs) in _GNU.items() for v in vs)]
+    found = [(k, f"SPDX-License-Identifier: {k}") for k in [*ids, *_GNU]]
+    for key, name in [*_named(), *((k, k) for k in ids)]:
+        found += [(key, f"{lead} {name}") for lead in ("license", "licence", "licensed under", "license is", "under the")]
+    pairs = {"MIT": "MIT", "BSD": "BSD", "GPL": "GPL", "LGPL": "LGPL", "MPL": "MPL-2.0"}
+    for a, b in itertools.permutations(pairs, 2):
+        found += [(pairs[x], f"{a} {link} {b} {last}") for x in (a, b) for link in ("and", "or") for last in ("license", "licenses", "licence", "licences")]
+    kept = {(k, " ".join(_words(x))): None for k, x in found if BRIEF <= len(_words(x)) < LEAST}
+    return list(kept)
+
+
 def templates() -> list[tuple[str, str]]:
     """(licence, text) of all of them."""
-    return [*whole_texts(), *PARTS, *announcements()]
+    return [*whole_texts(), *PARTS, *announcements(), *brief()]

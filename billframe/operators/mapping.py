@@ -26,6 +26,7 @@ from billframe.config import (
     required_names,
 )
 from billframe.functions import fold_key, normalize_label, strip_ws
+from billframe.operators.extract import confidence_by_label, line_item_confidence_by_label
 from billframe.operators.skew import join_unique
 from billframe.plans.stages import materialize
 
@@ -378,32 +379,25 @@ def finalize_metadata(payloads: DataFrame, docs: DataFrame, line_items: DataFram
     return out.drop("_li") if "_li" in out.columns else out
 
 
-def confidence_maps(summary_fields: DataFrame, line_cells: DataFrame | None) -> DataFrame:
-    """B9/B10 per document as maps: summary max by normalised label, line-item min by column."""
-    s = summary_fields.select("source_file", normalize_label("label").alias("k"),
-                              F.round("confidence", 2).alias("c")).where(F.col("k") != "")
-    s = s.groupBy("source_file", "k").agg(F.max("c").alias("c")).groupBy("source_file").agg(
-        F.map_from_entries(F.collect_list(F.struct("k", "c"))).alias("summary_conf"))
-    if line_cells is None:
-        return s.withColumn("line_conf", F.create_map().cast("map<string,double>"))
-    li = line_cells.where(F.col("confidence").isNotNull()).select(
-        "source_file", normalize_label("col").alias("k"), F.round("confidence", 2).alias("c")).where(F.col("k") != "")
-    li = li.groupBy("source_file", "k").agg(F.min("c").alias("c")).groupBy("source_file").agg(
-        F.map_from_entries(F.collect_list(F.struct("k", "c"))).alias("line_conf"))
-    return s.join(li, "source_file", "full_outer")
-
-
-def resolve_confidences(payloads: DataFrame, conf_maps: DataFrame) -> DataFrame:
-    """Canonical -> confidence of the cited label (summary first, then line items)."""
-    j = payloads.join(conf_maps, "source_file", "left")
-    sm = F.coalesce(F.col("summary_conf"), F.create_map().cast("map<string,double>"))
-    lm = F.coalesce(F.col("line_conf"), F.create_map().cast("map<string,double>"))
-    resolved = F.transform_values(
-        F.col("source_labels"),
-        lambda k, v: F.coalesce(sm.getItem(normalize_label(v)), lm.getItem(normalize_label(v))),
-    )
-    return j.withColumn("extraction_confidence", F.map_filter(resolved, lambda k, v: v.isNotNull()).cast(
-        "map<string,double>")).drop("summary_conf", "line_conf")
+def resolve_confidences(payloads: DataFrame, summary_fields: DataFrame, line_cells: DataFrame | None) -> DataFrame:
+    """Canonical -> confidence of the cited label (summary first, then line items).
+
+    One row for each cited label meets the confidences by label (B9, B10); only
+    what a payload cites, thirteen labels at most, is put together again.
+    """
+    cited = payloads.select("source_file", F.explode("source_labels").alias("canonical", "cited")).select(
+        "source_file", "canonical", normalize_label("cited").alias("label"))
+    key = ["source_file", "label"]
+    found = cited.join(confidence_by_label(summary_fields).withColumnRenamed("confidence", "_summary"), key, "left")
+    best = F.col("_summary")
+    if line_cells is not None:
+        found = found.join(line_item_confidence_by_label(line_cells).withColumnRenamed("confidence", "_line"), key, "left")
+        best = F.coalesce("_summary", "_line")
+    resolved = found.where(best.isNotNull()).groupBy("source_file").agg(
+        F.map_from_entries(F.collect_list(F.struct("canonical", best.cast("double")))).alias("_confidence"))
+    j = payloads.join(resolved, "source_file", "left")
+    empty = F.create_map().cast("map<string,double>")
+    return j.withColumn("extraction_confidence", F.when(F.col("source_labels").isNotNull(), F.coalesce("_confidence", empty))).drop("_confidence")
 
 
 def document_messages(headers: DataFrame, summary: DataFrame, items: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def run_batch(spark: SparkSession, paths: BatchPaths, batch_id: str | None = Non
     orders = manifest.where(F.col("hard_rule").isNull()).select("source_file", F.col("discovery_order").alias("load_order"))
     payloads = M.map_in_order(summary, model_payloads, orders, known_aliases(spark, paths.out, but=batch_id), settings)
     payloads = M.finalize_metadata(payloads, headers, items)
-    payloads = M.resolve_confidences(payloads, M.confidence_maps(summary, X.line_cells(items)))
+    payloads = M.resolve_confidences(payloads, summary, X.line_cells(items))
     payloads = sinks.write(payloads, "silver/mapped")
 
     # Failure precedence before validation: gates > extraction > mapping.

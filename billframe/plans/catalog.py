@@ -310,7 +310,7 @@ def product_name_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def resolve_confidence(spark: SparkSession, sf: str) -> DataFrame:
     from billframe.operators import extract as X
-    from billframe.operators.mapping import confidence_maps, resolve_confidences
+    from billframe.operators.mapping import resolve_confidences
 
     p = _expense(spark, sf)
     summ = X.expense_summary_fields(p)
@@ -319,7 +319,7 @@ def resolve_confidence(spark: SparkSession, sf: str) -> DataFrame:
                           F.lit("date"), F.lit("Invoice Date:"), F.lit("product_name"), F.lit(" ITEM"),
                           F.lit("buyer_name"), F.lit("Customer"))
     payloads = p.select("source_file", labels.alias("source_labels"))
-    r = resolve_confidences(payloads, confidence_maps(summ, cells))
+    r = resolve_confidences(payloads, summ, cells)
     return r.select(_okey(), F.explode("extraction_confidence").alias("field", "confidence"))
 
 

@@ -11,7 +11,9 @@ what may be deleted. Of several commits of one batch the last one counts.
 The log has one small file for each batch; readers turn it into a filter on the
 partition columns ``run`` (and ``batch_date``, ``batch_id``), so the scan reads
 published folders only. Versions are taken by creating the next file without
-overwriting: of two writers one fails and takes the version after.
+overwriting: of two writers one fails and looks again. If what it decided on -
+gold's keys - was added to since it began, it ends with ``Conflict`` and is run
+again; otherwise it takes the version after.
 """
 
 from __future__ import annotations
@@ -82,6 +84,14 @@ def _publish(spark: SparkSession, source: str, target: str) -> bool:
         raise
 
 
+class Conflict(RuntimeError):
+    """Another run was committed whose keys this one has not seen."""
+
+
+#: Sinks that runs decide on: first write wins on what is in them.
+DECISIVE = frozenset({"gold_keys"})
+
+
 class Run:
     """The sinks of one run of a batch, unpublished until ``commit``."""
 
@@ -89,6 +99,7 @@ class Run:
         self.spark, self.out, self.batch_id = spark, out, batch_id
         self.batch_date = batch_date or UNDATED
         self.run = uuid.uuid4().hex
+        self.base = max((c.version for c in commits(spark, out)), default=0)
         self.sinks: dict[str, dict] = {}
 
     def write(self, df: DataFrame, sink: str, kind: str = "parquet", partition_by: list[str] | None = None) -> DataFrame:
@@ -111,7 +122,10 @@ class Run:
         draft, fs = _hadoop(self.spark, os.path.join(folder, f"_{self.run}.tmp"))
         fs.mkdirs(_hadoop(self.spark, folder)[0])
         while True:
-            version = max((c.version for c in commits(self.spark, self.out)), default=0) + 1
+            known = commits(self.spark, self.out)
+            if any(c.version > self.base and DECISIVE & c.sinks.keys() for c in known) and DECISIVE & self.sinks.keys():
+                raise Conflict(f"a batch was committed while {self.batch_id} ran: run it again")
+            version = max((c.version for c in known), default=0) + 1
             made = Commit(version, self.batch_id, self.batch_date, self.run, committed_at, self.sinks)
             stream = fs.create(draft, True)
             try:

@@ -61,7 +61,7 @@ def test_two_writers_take_two_versions(spark, tmp_path):
 
     def stale(*args):
         calls.append(1)
-        return [] if len(calls) == 1 else real(*args)
+        return [] if len(calls) == 1 else real(*args)  # once, in the choice of the version
 
     commits.commits = stale
     try:
@@ -73,7 +73,15 @@ def test_two_writers_take_two_versions(spark, tmp_path):
     runs[2].commit("t")  # replaces the first one's rows
     assert sorted(r["x"] for r in commits.read_sink(spark, out, "sink").collect()) == [1, 2]
     assert [r["x"] for r in commits.read_sink(spark, out, "sink", but="a").collect()] == [1]
-    assert commits.read_sink(spark, out, "other") is None and len(commits.unpublished(spark, out)) == 1
+    # runs that decide on gold's keys do not pass each other
+    early, late = (commits.Run(spark, out, b, None) for b in ("c", "d"))
+    for run in (early, late):
+        run.write(spark.createDataFrame([("k", 1)], "dedup_key string, bucket int"), "gold_keys", partition_by=["bucket"])
+    late.commit("t")
+    with pytest.raises(commits.Conflict):
+        early.commit("t")
+    assert commits.read_sink(spark, out, "gold_keys").count() == 1
+    assert commits.read_sink(spark, out, "other") is None and len(commits.unpublished(spark, out)) == 2
 
 
 def test_key_index_reads_touched_buckets_only(spark, tmp_path):

@@ -19,7 +19,8 @@ large the corpus is. That bounds the filter: at most 2^21 slots, each a word of
 Plan: learning counts n-grams within every task (whole texts), then by
 (language, n-gram) over a hash shuffle of the tasks' distinct n-grams; slots are
 made by a second aggregation and fetched (bounded as above). Scoring is one pass
-in Arrow batches with the filter broadcast, no shuffle.
+in Arrow batches with the filter broadcast, no shuffle. Long texts are counted in
+pieces cut at spaces, so memory does not grow with a text (but with one unbroken word).
 
 Edge cases: a text that is NULL or has no letter is ``und`` with score 0, as is
 every text when nothing was learned; equal shares go to the language first in
@@ -104,15 +105,36 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(owners), lettered
 
 
-def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of GROUP_BYTES at most, cut at spaces and line ends, where no n-gram crosses."""
     first = 0
-    while first < len(texts):
-        last, size = first, 0
-        while last < len(texts) and (last == first or size + len(texts[last]) <= GROUP_BYTES):
-            size += len(texts[last])
-            last += 1
-        yield first, last
-        first = last
+    while len(text) - first > GROUP_BYTES:
+        at = max(text.rfind(b" ", first, first + GROUP_BYTES), text.rfind(b"\n", first, first + GROUP_BYTES))
+        if at <= first:  # one unbroken stretch
+            ends = [x for x in (text.find(b" ", first + 1), text.find(b"\n", first + 1)) if x >= 0]
+            if not ends:
+                break
+            at = min(ends)
+        yield text[first:at]
+        first = at
+    yield text[first:]
+
+
+def _groups(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Pieces of the texts, together GROUP_BYTES at most or one piece, with the numbers of their texts."""
+    numbers: list[int] = []
+    held: list[bytes] = []
+    size = 0
+    for i, text in enumerate(texts):
+        for piece in _pieces(text):
+            if held and size + len(piece) > GROUP_BYTES:
+                yield numbers, held
+                numbers, held, size = [], [], 0
+            numbers.append(i)
+            held.append(piece)
+            size += len(piece)
+    if held:
+        yield numbers, held
 
 
 def _gram_counts(learning: DataFrame) -> DataFrame:
@@ -135,8 +157,8 @@ def _gram_counts(learning: DataFrame) -> DataFrame:
             langs, texts = np.array(b.column("lang").to_pylist(), dtype=object), b.column("text").to_pylist()
             for lang in sorted(set(langs)):
                 mine = [texts[i] for i in np.flatnonzero(langs == lang)]
-                for first, last in _groups(mine):
-                    n = pd.Series(grams(mine[first:last])[0]).value_counts(sort=False)
+                for _, group in _groups(mine):
+                    n = pd.Series(grams(group)[0]).value_counts(sort=False)
                     held.setdefault(lang, []).append(n)
                     size += len(n)
                 if size > 4 * HELD_GRAMS:
@@ -205,17 +227,21 @@ def containing(filters: Filters, hashes: np.ndarray) -> np.ndarray:
 
 def shares(filters: Filters, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Corrected share of every text's n-grams known to each language, and whether it has a letter."""
-    hashes, owners, lettered = grams(texts)
-    masks = containing(filters, hashes)
-    n = np.bincount(owners, minlength=len(texts)).astype(np.float64)
-    out = np.zeros((len(texts), len(filters.languages)))
-    for i in range(len(filters.languages)):
-        hit = (masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-        popcount = np.bincount(owners, weights=hit, minlength=len(texts))
-        rate = filters.false_rates[i]
-        # A filter with every bit set says nothing.
-        out[:, i] = 0 if rate >= 1 else (popcount / np.maximum(n, 1) - rate) / (1 - rate)
-    return np.clip(out, 0, 1), lettered
+    n = np.zeros(len(texts))
+    popcounts = np.zeros((len(texts), len(filters.languages)))
+    lettered = np.zeros(len(texts), dtype=bool)
+    for numbers, group in _groups(texts):
+        hashes, owners, has = grams(group)
+        masks = containing(filters, hashes)
+        np.add.at(n, numbers, np.bincount(owners, minlength=len(group)))
+        np.logical_or.at(lettered, numbers, has)
+        for i in range(len(filters.languages)):
+            hit = (masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)
+            np.add.at(popcounts[:, i], numbers, np.bincount(owners, weights=hit, minlength=len(group)))
+    rates = filters.false_rates
+    # A filter with every bit set says nothing.
+    corrected = (popcounts / np.maximum(n, 1)[:, None] - rates) / np.where(rates < 1, 1 - rates, 1)
+    return np.where(rates < 1, np.clip(corrected, 0, 1), 0), lettered
 
 
 def languages(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -226,18 +252,12 @@ def languages(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_co
         model = sent.value
 
         def work(texts: list[bytes]):
-            names, scores = [], []
-            for first, last in _groups(texts):
-                if not model.languages:
-                    names += [UNDETERMINED] * (last - first)
-                    scores += [0.0] * (last - first)
-                    continue
-                found, lettered = shares(model, texts[first:last])
-                best = np.where(found.any(axis=1), found.argmax(axis=1), model.commonest)
-                for i, ok in enumerate(lettered.tolist()):
-                    names.append(model.languages[best[i]] if ok else UNDETERMINED)
-                    scores.append(float(found[i, best[i]]) if ok else 0.0)
-            return names, scores
+            if not model.languages:
+                return [[UNDETERMINED] * len(texts), [0.0] * len(texts)]
+            found, lettered = shares(model, texts)
+            best = np.where(found.any(axis=1), found.argmax(axis=1), model.commonest)
+            score = np.where(lettered, found[np.arange(len(texts)), best], 0.0)
+            return [[model.languages[i] if ok else UNDETERMINED for i, ok in zip(best, lettered.tolist())], score.tolist()]
 
         return work
 

@@ -132,6 +132,21 @@ def test_grams_equal_brute_force():
         assert collections.Counter(collections.Counter(hashes[owners == i].tolist()).values()) == collections.Counter(collections.Counter(brute_grams(t)).values())
 
 
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join("ab cd\nef".replace("a", rng.choice("xyzé")) for _ in range(rng.randint(0, 400))).encode() for _ in range(8)]
+    texts += [b"", b"q" * 500, b"one " + b"w" * 300 + b" two\nthree" * 40]
+    whole = [collections.Counter(language_id.grams([t])[0].tolist()) for t in texts]
+    monkeypatch.setattr(language_id, "GROUP_BYTES", 64)
+    counted = [collections.Counter() for _ in texts]
+    for numbers, group in language_id._groups(texts):
+        hashes, owners, _ = language_id.grams(group)
+        for h, o in zip(hashes.tolist(), owners.tolist()):
+            counted[numbers[o]][h] += 1
+        assert len(group) == 1 or sum(map(len, group)) <= 64
+    assert counted == whole
+
+
 def test_filters_hold_what_was_learned_and_correct_false_positives(spark):
     rng = random.Random(2)
     rows = tongues(rng, 60, 40)

@@ -513,6 +513,7 @@ def test_benchmark_hits(spark, docs, rows, empty):
     for chars in (400_000, 100):  # one automaton, several
         got = decontaminate.benchmark_hits(frame, bench, automaton_chars=chars).collect()
         assert bag((r.doc_id, r.n_words, r.n_hit, r.items) for r in got) == expected
+    assert decontaminate.clean_documents(frame, bench, automaton_chars=100).count() == sum(not hits(r[1], items)[1] for r in small)
     for r in got:
         text = next(x[1] for x in rows if x[0] == r.doc_id and len(decontaminate.normalise((x[1] or "").encode())) == r.n_words)
         assert sum(len(decontaminate.normalise(text[s["start"] : s["end"]].encode())) for s in r.spans) == r.n_hit
@@ -525,6 +526,27 @@ def test_benchmark_hits(spark, docs, rows, empty):
     assert decontaminate.benchmark_hits(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_ids_of_any_type_and_one_automaton_a_worker(spark, docs, rows, monkeypatch):
+    long = " ".join(f"w{i}" for i in range(400))
+    items = [("q-1", " ".join(rows[0][1].split()[2:16])), ("q-10", long), ("q-9", rows[4][1][:80]), (None, "One, TWO!")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    frame = docs.where("text IS NULL OR length(text) < 50000").select("doc_id", "text")
+    frame = frame.unionByName(spark.createDataFrame([(700, "x " + " ".join(f"W{i}" for i in range(190, 210)) + " y")], "doc_id long, text string"))
+    expected = bag((r[0], hits(r[1], items)[2]) for r in [x for x in rows if len(x[1] or "") < 50_000] + [(700, " ".join(f"w{i}" for i in range(190, 210)))])
+    for chars in (400_000, 400):
+        got = decontaminate.benchmark_hits(frame, bench, automaton_chars=chars)
+        assert bag((r.doc_id, r["items"]) for r in got.collect()) == expected
+    one = decontaminate.digest(got).where("doc_id = 700").first()
+    assert one.items_sha256 == hashlib.sha256(b"q-10").hexdigest() and (one.n_words, one.n_hit) == (22, 20)
+    built = []
+    monkeypatch.setattr(decontaminate, "build", lambda items, window: built.append(1) or object())
+    sent = [decontaminate._Sent(type("B", (), {"value": [("a", b"x")]})()) for _ in range(2)]
+    for s in (sent[0], sent[0], sent[1], sent[1]):
+        decontaminate._machine(s, 10)
+    assert len(built) == 2
+    decontaminate.kept_in_worker(("benchmark automaton",), dict).clear()
+
+
 # --- 10 main text -----------------------------------------------------------
 
 PROSE = "This is a paragraph of the article that runs on for a good while, with commas &amp; more. "

@@ -117,7 +117,8 @@ class Lattice:
         keep = n <= KEPT_ARCS
         alpha = [0.0] * (n + 1)
         alpha[0] = 1.0
-        arcs = []
+        arcs: list[tuple] = []
+        append = arcs.append if keep else lambda arc: None
         scales: dict[int, float] = {}
         for i in range(n):
             a = alpha[i]
@@ -133,19 +134,29 @@ class Lattice:
             if not got:  # no piece of one character: spell it
                 p = math.exp(self.by_bytes(text[i]))
                 alpha[j] += a * p
-                if keep:
-                    arcs.append((i, j, p, -2))
+                append((i, j, p, -2))
             while got is not False:
                 if got is not None:
                     alpha[j] += a * got[0]
-                    if keep:
-                        arcs.append((i, j, got[0], got[1]))
+                    append((i, j, got[0], got[1]))
                 j += 1
                 if j > n:
                     break
                 got = find(text[i:j], False)
         mass = [0.0] * (n + 1)
         mass[n] = weight
+        if keep and not scales:  # nearly all words
+            for i, j, p, piece in reversed(arcs):
+                m = mass[j]
+                if m and alpha[j]:
+                    part = m * alpha[i] * p / alpha[j]
+                    mass[i] += part
+                    if piece >= 0:
+                        counts[piece] += part
+                    else:
+                        for b in text[i].encode("utf-8"):
+                            counts[self.ids[f"<0x{b:02X}>"]] += part
+            return
         last = n
         for i, j, p, piece in reversed(arcs) if keep else self._arcs_back(text):
             while last > i:  # positions behind a scaling are compared with those before it no more

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from billframe.config import LEADING_DECORATION_REGEX, NULLISH
 
-# (?U): Unicode-aware \s, matching Python's str.strip()/re semantics.
-_LEAD_TRAIL_WS = r"(?U)^\s+|\s+$"
+# (?U): Unicode-aware \s (the characters of _WS), matching Python's str.strip()/re semantics.
+_WS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _ANY_WS_RUN = r"(?U)\s+"
 
 
@@ -18,7 +18,7 @@ def _c(col) -> Column:
 
 def strip_ws(col) -> Column:
     """Strip leading/trailing Unicode whitespace (Spark's trim strips spaces only)."""
-    return F.regexp_replace(_c(col), _LEAD_TRAIL_WS, "")
+    return F.btrim(_c(col), F.lit(_WS))
 
 
 def clean_ws(col) -> Column:

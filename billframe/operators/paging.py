@@ -87,22 +87,29 @@ def joined_bodies(pages: DataFrame, items_field: str) -> DataFrame:
     several pages the last one's status counts; a broken chain or an unfinished
     job leaves no body, only ``chain_error``. Write ``pages`` before.
     """
-    counted = pages.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n"), F.count(_token(F.col("token"))).alias("asked"), F.count(_token(F.col("next_token"))).alias("more"))
+    token, more = _token(F.col("token")), _token(F.col("next_token"))
+    pages = pages.where(F.col("source_file").isNotNull())
+    counted = pages.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.count(token).alias("asked"), F.count(more).alias("more"))
     alone = (F.col("n") == 1) & (F.col("asked") == 0) & (F.col("more") == 0)
-    single = pages.join(counted.where(alone).select("source_file"), "source_file", "left_semi")
-    single = single.select("source_file", "body", F.lit(None).cast("string").alias("chain_error"))
-    many = pages.join(counted.where(~alone).select("source_file"), "source_file", "left_semi")
+    # The chain is found without bodies: a digest tells pages apart.
+    narrow = pages.select("source_file", "token", "next_token", "status", F.sha2("body", 256).alias("digest"))
+    many = narrow.join(counted.where(~alone).select("source_file"), "source_file", "left_semi")
     if many.isEmpty():
-        return single
-    ordered = chain_order(many)
-    items = F.regexp_replace(F.get_json_object("body", f"$.{items_field}"), r"^\s*\[\s*|\s*\]\s*$", "")
-    agg = ordered.groupBy("source_file").agg(
-        F.sort_array(F.collect_list(F.struct("page_no", items.alias("items")))).alias("ps"),
+        return pages.select("source_file", "body", F.lit(None).cast("string").alias("chain_error"))
+    ordered = chain_order(many).groupBy("source_file").agg(
+        F.sort_array(F.collect_list(F.struct("token", "page_no"))).alias("numbers"),
         F.max_by("status", "page_no").alias("status"), F.max("chain_error").alias("chain_error"))
-    listed = F.array_join(F.transform(F.filter("ps", lambda x: x["items"] != ""), lambda x: x["items"]), ",")
+    # Bodies cross one shuffle. In a whole chain no token comes twice, so both lists by token name the same pages.
+    items = F.regexp_replace(F.get_json_object("body", f"$.{items_field}"), r"^\s*\[\s*|\s*\]\s*$", "")
+    agg = pages.groupBy("source_file").agg(
+        F.first(F.when(token.isNull() & more.isNull(), F.col("body")), ignorenulls=True).alias("only"),
+        F.sort_array(F.collect_set(F.struct(F.coalesce(token, F.lit("")).alias("token"), items.alias("items")))).alias("ps"))
+    agg = agg.join(ordered, "source_file", "left")
+    placed = F.sort_array(F.zip_with("ps", "numbers", lambda p, n: F.struct(n["page_no"].alias("page_no"), p["items"].alias("items"))))
+    listed = F.array_join(F.transform(F.filter(placed, lambda x: x["items"] != ""), lambda x: x["items"]), ",")
     status = F.coalesce("status", F.lit("SUCCEEDED"))
     whole = F.concat(F.lit('{"JobStatus":"'), status, F.lit(f'","{items_field}":['), listed, F.lit("]}"))
-    ok = F.col("chain_error").isNull() & status.isin(*FINISHED)
-    joined = agg.select("source_file", F.when(ok, whole).alias("body"), F.coalesce("chain_error", F.when(~ok, status)).alias("chain_error"))
-    return single.unionByName(joined)
+    chained, ok = F.col("numbers").isNotNull(), F.col("chain_error").isNull() & status.isin(*FINISHED)
+    return agg.select(
+        "source_file", F.when(~chained, F.col("only")).when(ok, whole).alias("body"),
+        F.when(chained, F.coalesce("chain_error", F.when(~ok, status))).alias("chain_error"))

@@ -42,7 +42,7 @@ def page_chains(spark: SparkSession, sf: str) -> DataFrame:
     pages = pages.where(lost.isNull() | (i != lost)).select(
         "source_file", "body", token(i).alias("token"),
         F.when(back & (i == n - 1), token(F.lit(1))).otherwise(token(i + 1)).alias("next_token"), F.lit("SUCCEEDED").alias("status"))
-    pages = materialize(lambda: pages.repartition("token"), "page_chains", (sf,), spark=spark)
+    pages = materialize(lambda: pages.repartition("source_file", "token"), "page_chains", (sf,), spark=spark)
     parsed = materialize(X.parse_envelopes(P.joined_bodies(pages, "ExpenseDocuments")).drop("body"), "page_chains_parsed",
                          (uuid.uuid4().hex,), spark=spark)
     fields = X.expense_summary_fields(parsed).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_fields"))

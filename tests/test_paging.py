@@ -69,3 +69,20 @@ def test_paged_results_in_a_batch(spark, tmp_path):
     assert out["north.pdf"]["outcome"] == "LOADED"
     assert (out["harbour.pdf"]["outcome"], out["harbour.pdf"]["error_message"]) == ("QUARANTINED", "EXTRACTION_FAILED")
     assert len(out) == 7
+
+
+def test_bodies_cross_one_shuffle_and_copies_count_once(spark):
+    page = lambda name, token, more, items, status="SUCCEEDED": (name, token, more, status, items and f'{{"Items": {items}}}')
+    rows = [
+        page("a", "t1", "", "[3]"), page("a", "", "t1", "[1, 2]"), page("a", "t1", "", "[3]"),
+        page("b", None, "t1", "[1]"), page("b", "t1", None, "[2]"), page("b", "t1", None, "[9]"),
+        page("c", None, None, "[7]", None), page("d", None, None, None), page("e", None, "x", "[1]"),
+    ]
+    pages = spark.createDataFrame(rows, "source_file string, token string, next_token string, status string, body string")
+    found = P.joined_bodies(pages, "Items")
+    got = {r["source_file"]: (r["body"], r["chain_error"]) for r in found.collect()}
+    assert got == {
+        "a": ('{"JobStatus":"SUCCEEDED","Items":[1,2,3]}', None), "b": (None, "two pages for a token"),
+        "c": ('{"Items": [7]}', None), "d": (None, None), "e": (None, "gap")}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(") == plan.count("collect_set(") == 1

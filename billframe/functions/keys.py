@@ -53,8 +53,14 @@ def _tables() -> tuple[str, str, dict[str, str]]:
 
 @functools.lru_cache(maxsize=1)
 def _multi_class() -> str:
-    _, _, multi = _tables()
-    return "[" + "".join(re.escape(ch) for ch in multi) + "]"
+    """One of the characters that fold to several, as ranges; ASCII is passed over before the ranges are tried."""
+    runs: list[list[int]] = []
+    for cp in sorted(map(ord, _tables()[2])):
+        if runs and cp == runs[-1][1] + 1:
+            runs[-1][1] = cp
+        else:
+            runs.append([cp, cp])
+    return r"(?=[^\x00-\x7F])[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in runs) + "]"
 
 
 @functools.lru_cache(maxsize=1)

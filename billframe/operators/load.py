@@ -3,7 +3,7 @@
 Dedup is decided on (key, order) only: a partial aggregation (min load order per
 folded key, history keys first), where map-side combining keeps a hot key to one
 row per task. The orders that win are joined back to the whole rows on the order,
-which is unique, so whole rows cross one shuffle and no key can be hot there.
+which is unique, so whole rows cross one shuffle, unsorted, and no key can be hot there.
 """
 
 from __future__ import annotations
@@ -66,7 +66,8 @@ def first_write_wins(
         before = touched(history, narrow) if "bucket" in history.columns else history.select("dedup_key")
         candidates = narrow.unionByName(before.withColumn("_order", F.lit(-1).cast("long")))
     firsts = candidates.groupBy("dedup_key").agg(F.min("_order").alias("_first")).select("_first").where(F.col("_first") >= 0)
-    joined = keyed.withColumn("_order", F.col(order_col).cast("long")).join(firsts, F.col("_order") == F.col("_first"), "left")
+    joined = keyed.withColumn("_order", F.col(order_col).cast("long")).join(
+        firsts.hint("shuffle_hash"), F.col("_order") == F.col("_first"), "left")
     is_new = valid & F.col("_first").isNotNull()
     null_keys = ["PK", "SK", "dedup_key", "vendor_key", "month", "date_sk"]
     return joined.select(

@@ -66,7 +66,7 @@ def load_three_batches(spark: SparkSession, sf: str) -> DataFrame:
     dates = table(spark, sf, "orders").select(F.col("o_orderkey").alias("load_order"), "o_orderdate")
     part = F.when(F.col("o_orderdate") < F.lit("1995-01-01").cast("date"), 1).when(
         F.col("o_orderdate") < F.lit("1998-01-01").cast("date"), 2).otherwise(3)
-    r = R.records(spark, sf).join(dates, "load_order").withColumn("part", part).drop("o_orderdate")
+    r = R.records(spark, sf).join(dates.hint("shuffle_hash"), "load_order").withColumn("part", part).drop("o_orderdate")
     r = materialize(r, "three_batches", (out,), spark=spark)
     found = None
     for i in (1, 2, 3):
@@ -171,6 +171,7 @@ def vendor_key_ranks(spark: SparkSession, sf: str) -> DataFrame:
 
 def description_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """Line items without a named description column: the longest cell that is no number."""
+    configure(spark)
     bodies = rendered_expense(spark, sf).withColumn("body", F.regexp_replace("body", '"ITEM"', '"THING"'))
     rows = X.row_description(X.expense_line_items(X.parse_envelopes(bodies)))
     return rows.select(_okey(), "row_index", "description")

@@ -27,7 +27,7 @@ from billframe.config import (
 )
 from billframe.functions import fold_key, normalize_label, strip_ws
 from billframe.operators.extract import confidence_by_label, line_item_confidence_by_label
-from billframe.operators.skew import join_unique
+from billframe.operators.skew import join_unique, met
 from billframe.plans.stages import materialize
 
 TOOL_NAME = "map_invoice_fields"
@@ -112,14 +112,16 @@ def select_attempt(attempts: DataFrame, settings: Settings = DEFAULT_SETTINGS, r
     raw = F.col(response_col)
     model = F.col("model_id") if "model_id" in attempts.columns else F.lit("")
 
+    # attempts are sorted by document: those that can not win travel without their payload
     def attempt(tool_json, usage):
-        return F.struct(
+        shaped = F.struct(
             shape_payload(tool_json).alias("p"),
             model.alias("model_id"),
             F.coalesce(usage["inputTokens"], F.lit(0)).alias("input_tokens"),
             F.coalesce(usage["outputTokens"], F.lit(0)).alias("output_tokens"),
             F.col("attempt").alias("attempts"),
         )
+        return _let(shaped, lambda s: F.when(s["p"]["valid"], s))
 
     if is_tool_input:
         a = attempt(raw, F.lit(None).cast("struct<inputTokens:bigint,outputTokens:bigint>"))
@@ -127,7 +129,7 @@ def select_attempt(attempts: DataFrame, settings: Settings = DEFAULT_SETTINGS, r
         a = _let(F.from_json(raw, RESPONSE_SCHEMA), lambda r: attempt(_tool_call(r), r["usage"]))
     shaped = attempts.where(F.col("attempt") <= settings.max_mapping_attempts).select("source_file", "attempt", a.alias("a"))
     best = shaped.groupBy("source_file").agg(
-        F.expr("min_by(a, attempt) FILTER (WHERE a.p.valid)").alias("w"),
+        F.expr("min_by(a, attempt) FILTER (WHERE a IS NOT NULL)").alias("w"),
     )
     return best.select(
         "source_file",
@@ -364,7 +366,7 @@ def finalize_metadata(payloads: DataFrame, docs: DataFrame, line_items: DataFram
     j = payloads.join(docs.select("source_file", "api"), "source_file", "left")
     md = F.coalesce(F.col("unmapped_metadata"), F.create_map().cast("map<string,string>"))
     if line_items is not None:
-        rows = line_items.groupBy("source_file").agg(
+        rows = met(line_items.select("source_file", "row_order", "fields"), "source_file").groupBy("source_file").agg(
             F.to_json(F.transform(F.array_sort(
                 F.collect_list(F.struct("row_order", "fields")),
                 lambda a, b: F.when(a["row_order"] < b["row_order"], -1).when(a["row_order"] > b["row_order"], 1).otherwise(0),
@@ -405,10 +407,11 @@ def document_messages(headers: DataFrame, summary: DataFrame, items: DataFrame)
 
     headers: source_file, api, page_count, warnings. Fields and rows are in document order.
     """
-    pairs = summary.groupBy("source_file").agg(F.array_sort(F.collect_list(F.struct(
+    fields = summary.select("source_file", "pos", "type", "label", "value", "confidence", "page")
+    pairs = met(fields, "source_file").groupBy("source_file").agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.struct("type", "label", "value", F.round("confidence", 2).alias("confidence"), "page").alias("v")))).alias("ps"))
     # maps have no order of their own: rows are sorted by their place alone
-    rows = items.groupBy("source_file").agg(F.array_sort(
+    rows = met(items.select("source_file", "row_order", "fields"), "source_file").groupBy("source_file").agg(F.array_sort(
         F.collect_list(F.struct("row_order", "fields")),
         lambda a, b: F.when(a["row_order"] < b["row_order"], -1).when(a["row_order"] > b["row_order"], 1).otherwise(0)).alias("rs"))
     joined = headers.join(pairs, "source_file", "left").join(rows, "source_file", "left")

@@ -1,4 +1,4 @@
-"""Joins whose keys may be hot: a key with a third of all rows must not land in one task."""
+"""Joins whose keys may be hot: a key with a third of all rows must not land in one task; rows that meet to be lists."""
 
 from __future__ import annotations
 
@@ -24,3 +24,12 @@ def join_unique(rows: DataFrame, unique: DataFrame, key: str) -> DataFrame:
     near = rows.join(F.broadcast(few), key)
     far = rows.join(hot, key, "left_anti").join(unique, key)
     return near.unionByName(far.select(*near.columns))
+
+
+def met(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows sent to their key before they are collected into lists.
+
+    Lists get no shorter where rows are read, yet Spark would sort all rows of a
+    task there to build them and spill; after the shuffle it sorts a small share.
+    """
+    return rows.repartition(*keys)

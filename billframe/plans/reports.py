@@ -96,7 +96,7 @@ def load_history(spark: SparkSession, sf: str) -> DataFrame:
     """K5: invoices ordered from 1998 on, loaded after the earlier ones."""
     dates = table(spark, sf, "orders").select(F.col("o_orderkey").alias("load_order"), "o_orderdate")
     late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("date")
-    r = R.records(spark, sf).join(dates, "load_order")
+    r = R.records(spark, sf).join(dates.hint("shuffle_hash"), "load_order")
     earlier = L.first_write_wins(r.where(~late).drop("o_orderdate"))
     history = earlier.where("is_new").select("dedup_key")
     return L.first_write_wins(r.where(late).drop("o_orderdate"), history).select(
@@ -241,7 +241,8 @@ def assembled_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = rendered_expense(spark, sf).select(
         "source_file", F.explode(F.array(F.lit(2), F.lit(1))).alias("page_no"), status.alias("status"), "body")
     whole = X.assemble_pages(pages, "ExpenseDocuments")
-    parsed = X.parse_envelopes(whole.select("source_file", "job_ok", "body"))
+    parsed = materialize(X.parse_envelopes(whole.select("source_file", "job_ok", "body")).drop("body"), "assembled_pages",
+                         (uuid.uuid4().hex,), spark=spark)
     n = X.expense_summary_fields(parsed).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_fields"))
     return parsed.join(n, "source_file", "left").select(_okey(), "job_ok", F.coalesce("n_fields", F.lit(0)).alias("n_fields"))
 

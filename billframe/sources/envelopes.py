@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billframe.operators.skew import met
 from billframe.sources.tables import table
 
 
@@ -76,7 +77,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", _escaped(F.col("p_name")).alias("item"))
     li = li.join(part, li.l_partkey == part.p_partkey)
     line = F.struct("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "item")
-    return li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("ls"))
+    return met(li.select("l_orderkey", line.alias("line")), "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("ls"))
 
 
 def _qty(x: Column) -> Column:

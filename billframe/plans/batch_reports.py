@@ -38,12 +38,15 @@ def page_chains(spark: SparkSession, sf: str) -> DataFrame:
     lost = F.when((k % 7 == 0) & (n >= 2), 1).when((k % 7 != 0) & (k % 11 != 0) & (k % 13 == 0) & (n >= 2), n - 1)
     back = (k % 7 != 0) & (k % 11 == 0) & (n >= 3)
     i = F.col("i")
-    pages = rendered_expense(spark, sf).select("source_file", "load_order", "body", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
+    dealt = F.array_sort(F.transform(F.sequence(F.lit(0), n - 1), lambda x: F.struct(F.xxhash64(k, x).alias("h"), x.alias("i"))))
+    pages = rendered_expense(spark, sf).select("source_file", "load_order", "body", F.explode(dealt["i"]).alias("i"))
     pages = pages.where(lost.isNull() | (i != lost)).select(
         "source_file", "body", token(i).alias("token"),
         F.when(back & (i == n - 1), token(F.lit(1))).otherwise(token(i + 1)).alias("next_token"), F.lit("SUCCEEDED").alias("status"))
-    pages = materialize(lambda: pages.repartition("source_file", "token"), "page_chains", (sf,), spark=spark)
-    parsed = materialize(X.parse_envelopes(P.joined_bodies(pages, "ExpenseDocuments")).drop("body"), "page_chains_parsed",
+    parsed = X.parse_envelopes(P.joined_bodies(pages, "ExpenseDocuments")).drop("body")
+    # of the parsed results only what is read below is written
+    documents = F.transform("env.ExpenseDocuments", lambda d: d.dropFields("LineItemGroups"))
+    parsed = materialize(parsed.withColumn("env", F.col("env").withField("ExpenseDocuments", documents)), "page_chains_parsed",
                          (uuid.uuid4().hex,), spark=spark)
     fields = X.expense_summary_fields(parsed).groupBy("source_file").agg(F.count(F.lit(1)).alias("n_fields"))
     counted = X.expense_headers(parsed).select("source_file", F.col("page_count").cast("int").alias("page_count"))

@@ -3,10 +3,15 @@
 import json
 import os
 import random
+import re
+
+from pyspark.sql import functions as F
 
 from billframe.config import Settings
 from billframe.operators import paging as P
+from billframe.plans import batch_reports as B
 from billframe.plans.batch import BatchPaths, run_batch
+from billframe.session import configure
 from tests.golden import TEST_RATES, write_batch
 
 SCHEMA = "source_file string, token string, next_token string, body string, status string"
@@ -86,3 +91,80 @@ def test_bodies_cross_one_shuffle_and_copies_count_once(spark):
         "c": ('{"Items": [7]}', None), "d": (None, None), "e": (None, "gap")}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("get_json_object(") == plan.count("collect_set(") == 1
+
+
+def _odd_jobs(rng, n):
+    """Jobs of one to nine pages, some with lost, doubled, torn, redirected, stray or unfinished pages."""
+    rows = []
+    for j in range(n):
+        job = chain(f"j{j}", rng.randint(1, 9), rng.choice(["SUCCEEDED", "SUCCEEDED", "PARTIAL_SUCCESS", "FAILED", None]))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            i = rng.randrange(len(job))
+            name, token, more, body, status = job[i]
+            what = rng.randrange(6)
+            if what == 0 and len(job) > 1:
+                job.pop(i)
+            elif what == 1:
+                job.append(job[i])
+            elif what == 2:
+                job.append((name, token, more, '{"Items":["other"]}', status))
+            elif what == 3:
+                job[i] = (name, token, rng.choice(job)[1], body, status)
+            elif what == 4:
+                job.append((name, rng.choice(["", "x"]), rng.choice([None, "y"]), rng.choice([None, "{}"]), status))
+            else:
+                job[i] = (name, "" if token is None else token, more, body, rng.choice(["FAILED", None]))
+        rows += job
+    rows.append((None, None, None, "{}", "SUCCEEDED"))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_chains_followed_in_the_row_equal_ranked_ones(spark, monkeypatch):
+    configure(spark)
+    pages = spark.createDataFrame(_odd_jobs(random.Random(3), 400), SCHEMA).cache()
+    key = lambda r: tuple(x or "" for x in r)
+    ranked = sorted((tuple(r) for r in P._joined_by_ranks(pages.where("source_file is not null"), "Items").collect()), key=key)
+    with monkeypatch.context() as m:
+        # short chains: nothing is written, no join
+        m.setattr(P, "materialize", None)
+        short = sorted((tuple(r) for r in P.joined_bodies(pages, "Items").collect()), key=key)
+    assert short == ranked
+    assert {"gap", "loop", "stray page", "two pages for a token", "no first page", "FAILED", None} <= {r[2] for r in short}
+    # both kinds in one run, many tasks
+    monkeypatch.setattr(P, "ROW_CHAIN_PAGES", 4)
+    monkeypatch.setattr(P, "TASK_PAGES", 100)
+    assert sorted((tuple(r) for r in P.joined_bodies(pages, "Items").collect()), key=key) == ranked
+    monkeypatch.setattr(P, "ROW_CHAIN_PAGES", 1000)
+    assert P.joined_bodies(pages, "Items").rdd.getNumPartitions() == pages.where("source_file is not null").count() // 100 + 1
+
+
+def test_text_between_brackets(spark):
+    texts = ["[]", "[ ]", "[1,2]", "[[1],[2]]", '["é"]', "é", "[é]", " [1] ", "[\n1\n]", "[", "]", "", "[1]\n", '{"a":[1]}', "[ [1] ]", "7", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = dict(tuple(r) for r in df.select("i", P._inside(F.col("t"))).collect())
+    assert got == {i: t if t is None else re.sub(r"^\s*\[\s*|\s*\]\s*\Z", "", t) for i, t in enumerate(texts)}
+
+
+def test_page_chains_sends_bodies_through_one_shuffle(spark, tmp_path, monkeypatch):
+    spark.range(240).selectExpr("id as o_orderkey", "id * 1.5 as o_totalprice", "timestamp'1996-01-02' as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(700).selectExpr("id % 230 as l_orderkey", "id % 9 as l_partkey", "cast(id % 7 as int) as l_linenumber", "3.0 as l_quantity", "9.25 as l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(9).selectExpr("id as p_partkey", "concat('part ', id) as p_name").write.parquet(f"{tmp_path}/part.parquet")
+    written = {}
+    kept = B.materialize
+
+    def seen(df, name, key=(), **more):
+        written[name] = df() if callable(df) else df
+        return kept(df, name, key, **more)
+
+    for module in (B, P):
+        monkeypatch.setattr(module, "materialize", seen)
+    got = {r.o_orderkey: (r.chain_error, r.page_count, r.n_fields) for r in B.page_chains(spark, str(tmp_path)).collect()}
+    for k in range(240):
+        n = 1 + k % 5
+        error = ("gap" if n >= 2 else None) if k % 7 == 0 else ("loop" if n >= 3 else None) if k % 11 == 0 else "gap" if k % 13 == 0 and n >= 2 else None
+        assert got[k] == ((error, 1, 0) if error else (None, n, 3 * n)), k
+    assert list(written) == ["page_chains_parsed"] and "LineItemGroups" not in written["page_chains_parsed"].schema.simpleString()
+    plan = written["page_chains_parsed"]._jdf.queryExecution().executedPlan().toString()
+    # one exchange of pages by document, none by token
+    assert plan.count("hashpartitioning(source_file") == 1 and "token" not in "".join(x for x in plan.split("\n") if "hashpartitioning" in x.split("[")[0])

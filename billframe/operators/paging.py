@@ -21,13 +21,14 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from billframe.operators.skew import met
 from billframe.plans.stages import materialize
 
 #: Statuses of a finished job (fixed values).
 FINISHED = ("SUCCEEDED", "PARTIAL_SUCCESS")
 #: Pages up to which a document's chain is followed within its row; a longer one is ranked by joins.
 ROW_CHAIN_PAGES = 256
-#: Pages that one task puts together, if they are more than the session's shuffle partitions hold.
+#: Pages that one task puts together.
 TASK_PAGES = 1 << 16
 
 
@@ -141,10 +142,7 @@ def _joined_in_row(pages: DataFrame, items_field: str, n: int) -> DataFrame:
     The walk holds the places (from 1) of the pages from the first on, and ends in
     0 where a page is missing. In a whole chain it has as many places as there are pages.
     """
-    tasks = n // TASK_PAGES + 1
-    few = tasks <= int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pages.repartition("source_file") if few else pages.repartition(tasks, "source_file")
-    docs = _counted(dealt, F.collect_set(F.struct("token", "next_token", "status", "body")).alias("ps"))
+    docs = _counted(met(pages, "source_file", n=n, share=TASK_PAGES), F.collect_set(F.struct("token", "next_token", "status", "body")).alias("ps"))
 
     def place(tokens, token):
         return F.array_position(tokens, token).cast("int")

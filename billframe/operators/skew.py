@@ -26,10 +26,15 @@ def join_unique(rows: DataFrame, unique: DataFrame, key: str) -> DataFrame:
     return near.unionByName(far.select(*near.columns))
 
 
-def met(rows: DataFrame, *keys: str) -> DataFrame:
+def met(rows: DataFrame, *keys: str, n: int = 0, share: int = 1) -> DataFrame:
     """Rows sent to their key before they are collected into lists.
 
     Lists get no shorter where rows are read, yet Spark would sort all rows of a
     task there to build them and spill; after the shuffle it sorts a small share.
+    Of ``n`` rows, if given, a task gets ``share`` at most, in more tasks than
+    the session's shuffle partitions where it takes more.
     """
+    tasks = n // share + 1
+    if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows.repartition(tasks, *keys)
     return rows.repartition(*keys)

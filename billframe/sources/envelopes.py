@@ -69,6 +69,10 @@ def _det(text: Column, conf: Column) -> Column:
     return _object(_string("Text", text), _number("Confidence", conf.cast("double")))
 
 
+#: Lines that one task renders: each becomes up to a kilobyte and a half of text, which the task may have to send on.
+TASK_LINES = 1 << 18
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_orderkey, ls): an order's lines as narrow structs in a total order, since line numbers repeat
     within an order in the driver data. Texts are rendered from them after the shuffle."""
@@ -77,7 +81,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", _escaped(F.col("p_name")).alias("item"))
     li = li.join(part, li.l_partkey == part.p_partkey)
     line = F.struct("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "item")
-    return met(li.select("l_orderkey", line.alias("line")), "l_orderkey").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("ls"))
+    dealt = met(li.select("l_orderkey", line.alias("line")), "l_orderkey", n=table(spark, sf_dir, "lineitem").count(), share=TASK_LINES)
+    return dealt.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("ls"))
 
 
 def _qty(x: Column) -> Column:

@@ -15,6 +15,7 @@ from billframe.operators import mapping as M
 from billframe.operators.fx import attach_rates, fx_table
 from billframe.operators.skew import met
 from billframe.session import PARTITION_SQL_CONF, configure
+from billframe.sources import envelopes as V
 
 
 def _plan(df):
@@ -123,3 +124,13 @@ def test_folding_passes_over_ascii(spark):
     assert _multi_class().startswith(r"(?=[^\x00-\x7F])")
     df = spark.createDataFrame([("Ltd ① ﬁ Á㎏-x",), ("plain 1",), ("株",), (None,)], "t string")
     assert [r.k for r in df.select(fold_key("t").alias("k")).collect()] == ["LTD1FIAKGX", "PLAIN1", "", ""]
+
+
+def test_large_inputs_meet_in_more_tasks_than_the_sessions(spark, tmp_path, monkeypatch):
+    assert met(spark.range(100), "id", n=100, share=5).rdd.getNumPartitions() == 21
+    assert "REPARTITION_BY_COL" in _plan(met(spark.range(100), "id", n=100, share=50))
+    spark.range(60).selectExpr("id as l_orderkey", "id % 9 as l_partkey", "1 as l_linenumber", "3.0 as l_quantity", "9.25 as l_extendedprice").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(9).selectExpr("id as p_partkey", "concat('part ', id) as p_name").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(V, "TASK_LINES", 4)
+    lines = V._lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() == 16 and lines.count() == 60
